@@ -79,3 +79,18 @@ def tokenize(text: Column, stopwords: Iterable[str] | None = None) -> Column:
     """P13-P16 as one array<string> expression; null text gives an empty array."""
     cleaned = strip_special_characters(F.coalesce(text, F.lit("")))
     return F.filter(split_words(cleaned), keep_token(stopwords))
+
+
+# A short list of common English function words, used by the registered
+# queries when no stop-word file is given (any list can be passed instead,
+# e.g. one read with ``sources.csv.read_stopwords``).
+BASIC_STOPWORDS = [
+    "about", "above", "after", "again", "against", "also", "because", "been",
+    "before", "being", "below", "between", "both", "could", "does", "doing",
+    "down", "during", "each", "from", "further", "have", "having", "here",
+    "into", "more", "most", "other", "over", "same", "should", "some", "such",
+    "than", "that", "their", "theirs", "them", "then", "there", "these",
+    "they", "this", "those", "through", "under", "until", "very", "were",
+    "what", "when", "where", "which", "while", "whom", "will", "with",
+    "would", "your", "yours",
+]
