@@ -27,7 +27,10 @@ def add_cte(name: str, body: str) -> None:
 
 def with_ctes(final_select: str) -> str:
     ctes = ",\n".join(f"{k} AS ({v})" for k, v in ORACLE_CTES.items())
-    return f"WITH {ctes}\n{final_select}"
+    body = final_select.strip()
+    if body.upper().startswith("WITH "):
+        return f"WITH {ctes},\n{body[5:]}"
+    return f"WITH {ctes}\n{body}"
 
 
 def register(name: str, sql: str | None = None):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from wardline.plans import catalog
 from wardline.plans import queries_cohort  # noqa: F401
 from wardline.plans import queries_text  # noqa: F401
+from wardline.plans import queries_features  # noqa: F401
 
 
 def all_queries():
