@@ -6,6 +6,7 @@ from wardline.plans import catalog
 from wardline.plans import queries_cohort  # noqa: F401
 from wardline.plans import queries_text  # noqa: F401
 from wardline.plans import queries_features  # noqa: F401
+from wardline.plans import queries_sources  # noqa: F401
 
 
 def all_queries():
