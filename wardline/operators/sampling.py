@@ -77,9 +77,9 @@ def rebalance(train: DataFrame, labels: DataFrame, pos_share: float = 0.3, exact
     no join or window spans all rows.
     """
     lab = train.select(key).join(labels.select(key, "label"), key)
-    stats = lab.agg(F.count(F.lit(1)).alias("t"), F.sum("label").alias("p"))
-    total = stats.select("t").scalar()
-    pos = stats.select("p").scalar()
+    # one scalar subquery (evaluated once, reused) holding both counts
+    st = lab.agg(F.struct(F.count(F.lit(1)).alias("t"), F.sum("label").alias("p")).alias("s")).scalar()
+    total, pos = st["t"], st["p"]
     share_ok = (pos / total) >= F.lit(float(pos_share))
     want = pos / F.lit(float(pos_share)) * F.lit(1.0 - pos_share)
     neg = lab.where(F.col("label") == 0)
