@@ -15,4 +15,4 @@ def all_queries():
 
 
 def flagship(spark, sf_dir):
-    return catalog.REGISTRY["label_summary"][0](spark, sf_dir)
+    return catalog.REGISTRY["hour_sweep_population"][0](spark, sf_dir)
