@@ -8,6 +8,7 @@ from wardline.plans import queries_text  # noqa: F401
 from wardline.plans import queries_features  # noqa: F401
 from wardline.plans import queries_sources  # noqa: F401
 from wardline.plans import queries_models  # noqa: F401
+from wardline.plans import queries_streaming  # noqa: F401
 
 
 def all_queries():
