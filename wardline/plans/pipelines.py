@@ -164,7 +164,8 @@ def run_derived(train: DataFrame, test: DataFrame, labels: DataFrame, cohort: Da
 def run_time_varying_topics(train: DataFrame, test: DataFrame, labels: DataFrame, first_note: DataFrame,
                             tokens: DataFrame, hours=(12, 240, 12), k: int = 50, lda_iter: int = 50,
                             max_iter: int = 300, reg_param: float = 0.1, optimizer: str = "online",
-                            vocab_size: int = 1 << 18, entity: str = "pid") -> Report:
+                            vocab_size: int = 1 << 18, entity: str = "pid",
+                            parallelism: int = 4) -> Report:
     """For each hour offset, notes before first note + hours -> LDA fit
     on the train notes -> topic features for train and test (the same
     model, so topic i means the same in both) -> SVM -> one report row.
@@ -175,8 +176,8 @@ def run_time_varying_topics(train: DataFrame, test: DataFrame, labels: DataFrame
     toks = cut_lineage(tokens.join(first_note.select(entity, "first_ts"), entity)
                        .select(entity, "chart_ts", "tokens", "first_ts"))
     lo, hi, step = hours
-    rows = []
-    for hr in range(lo, hi + 1, step):
+
+    def one_hour(hr: int) -> DataFrame:
         cut = events_before_hours(toks.drop("first_ts"), first_note, hr, entity)
         tr_tok = cut.join(train.select(entity), entity, "left_semi")
         tm = fit_topics(tr_tok, k, lda_iter, vocab_size=vocab_size, optimizer=optimizer)
@@ -185,7 +186,14 @@ def run_time_varying_topics(train: DataFrame, test: DataFrame, labels: DataFrame
         te = labelled_points(feats.join(test.select(entity), entity, "left_semi"), labels, entity)
         model = fit_linear_svm(tr, max_iter, reg_param)
         row = _pair_row(raw_scores(model, tr, entity), raw_scores(model, te, entity))
-        rows.append(row.select(F.lit(hr).alias("hr"), "*"))
+        # each hour's row is small: write it now so the model is not kept
+        return cut_lineage(row.select(F.lit(hr).alias("hr"), "*"))
+
+    # independent fits per hour run as concurrent Spark jobs
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = list(pool.map(one_hour, range(lo, hi + 1, step)))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
@@ -204,7 +212,8 @@ class Prepared:
 
 def prepare(patients: DataFrame, stays: DataFrame, notes: DataFrame, stopwords=None,
             horizon: str = "in_stay", missing: str = "null", train_share: float = 0.7,
-            seed: int = 42, entity: str = "pid", materialize: bool = True) -> Prepared:
+            seed: int = 42, entity: str = "pid", materialize: bool = True,
+            materialize_tokens: bool = True) -> Prepared:
     """M21 front half: cohort -> notes/tokens/first note -> labels -> split
     -> 7:3 rebalanced training entities.
 
@@ -219,16 +228,22 @@ def prepare(patients: DataFrame, stays: DataFrame, notes: DataFrame, stopwords=N
 
     c = adult_cohort(patients, stays, missing=missing, entity=entity)
     tl = process_notes(c, filter_notes(notes), stopwords, entity=entity)
-    labels = labels_for(tl.cohort, horizon, entity)
-    s = split_exact(tl.cohort, train_share, seed, entity, exact="auto")
+    # qualified cohort + first note: the one table everything below reads
+    qc = tl.cohort.join(tl.first_note, entity)
+    if materialize:
+        qc = cut_lineage(qc)
+    base = qc.drop("first_ts")
+    labels = labels_for(base, horizon, entity)
+    s = split_exact(base, train_share, seed, entity, exact="auto")
     train = s.where("is_train = 1").drop("is_train")
     bal = rebalance(train, labels, 0.3, True, seed, entity).select(entity).withColumn("is_balanced", F.lit(1))
-    ent = (s.join(labels, entity).join(tl.first_note, entity)
+    ent = (s.join(labels, entity).join(qc.select(entity, "first_ts"), entity)
            .join(bal, entity, "left").fillna(0, ["is_balanced"]))
     tokens = tl.tokens
     if materialize:
         ent = cut_lineage(ent)
-        tokens = cut_lineage(tokens)
+        if materialize_tokens:
+            tokens = cut_lineage(tokens)
     cohort_q = ent.drop("label", "first_ts", "is_train", "is_balanced")
     tl2 = NoteTimeline(cohort=cohort_q, notes=tl.notes, first_note=ent.select(entity, "first_ts"),
                        tokens=tokens, token_counts=tl.token_counts)

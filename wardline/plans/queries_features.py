@@ -22,7 +22,7 @@ from wardline.operators.sampling import kfold, rebalance, split_exact, split_has
 from wardline.operators.timeline import filter_notes, notes_in_stay
 from wardline.plans.catalog import add_cte, register
 from wardline.plans.pipelines import FIXED_WEIGHTS, fixed_linear_score, hour_sweep
-from wardline.plans.queries_text import HOURS, timeline
+from wardline.plans.queries_text import HOURS, SW, timeline
 from wardline.sources.testdata import load_views
 
 W = FIXED_WEIGHTS
@@ -333,10 +333,12 @@ add_cte("split_q_v", f"""
                            AND (c.dod IS NULL OR c.dod > f.first_ts + INTERVAL 1 HOUR * h.hr))))''')}) a USING (hr)
     GROUP BY hr, auc""")
 def q_hour_sweep_population(spark, sf_dir):
+    from wardline.plans.pipelines import prepare
+
     t = load_views(spark, sf_dir)
-    _, _, tl = timeline(spark, sf_dir)
-    test = split_exact(tl.cohort, 0.7, 42).where("is_train = 0").drop("is_train")
-    labels = labels_for(tl.cohort, "in_stay")
-    return hour_sweep(test, t.scores, tl.first_note, labels, weights=W)
+    # the per-entity table (cohort, first note, label, split) is written
+    # once; the sweep's metrics read it instead of re-running the tokenizer
+    p = prepare(t.patients, t.stays, t.notes, SW, materialize_tokens=False)
+    return hour_sweep(p.test, t.scores, p.timeline.first_note, p.labels, weights=W)
 
 
