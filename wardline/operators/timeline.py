@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions.values import add_hours
-from wardline.operators.text import entity_token_counts, tokenize_notes
+from wardline.operators.text import tokenize_notes
 
 MIN_TOKENS = 100
 
@@ -135,9 +135,13 @@ def process_notes(cohort: DataFrame, notes: DataFrame, stopwords=None,
     """
     in_stay = notes_in_stay(cohort, notes, entity=entity, ts=ts)
     toks = tokenize_notes(in_stay, stopwords, text=text)
-    counts = entity_token_counts(toks, entity)
-    qualified = counts.where(F.col("n_tokens") >= min_tokens).select(entity)
-    kept_notes = in_stay.join(qualified, entity, "left_semi")
-    first = first_event(kept_notes, entity, ts)
+    # one partial aggregation gives both the kept-token count and the first
+    # note: an entity qualifies as a whole, so its first kept note is the
+    # earliest of all its in-stay notes
+    stats = toks.groupBy(entity).agg(F.sum(F.size("tokens")).cast("long").alias("n_tokens"),
+                                     F.min(ts).alias("first_ts"))
+    qualified = stats.where(F.col("n_tokens") >= min_tokens)
+    first = qualified.select(entity, "first_ts")
+    kept_notes = in_stay.join(qualified.select(entity), entity, "left_semi")
     return NoteTimeline(cohort=with_first_note(cohort, first, entity), notes=kept_notes,
-                        first_note=first, tokens=toks, token_counts=counts)
+                        first_note=first, tokens=toks, token_counts=stats.select(entity, "n_tokens"))
