@@ -44,3 +44,15 @@ def lower_split_size(docs: DataFrame, text: str = "text", doc: str = "doc_id") -
     parts = F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s")
     return docs.select(doc, F.size(parts).alias("n_pieces"),
                        F.size(F.filter(parts, lambda t: F.length(t) > 0)).alias("n_words"))
+
+
+def term_stats(tokens: DataFrame, doc: str = "note_id", col: str = "tokens") -> DataFrame:
+    """A4 with document frequency: (term, n = total count, df = documents).
+
+    One explode; the (term, doc) partial aggregate shrinks the rows before
+    the per-term aggregate, so a term present everywhere is not shuffled
+    once per occurrence.
+    """
+    per_doc = (tokens.select(doc, F.explode(col).alias("term"))
+               .groupBy("term", doc).agg(F.count(F.lit(1)).alias("c")))
+    return per_doc.groupBy("term").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("df"))

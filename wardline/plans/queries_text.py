@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions.text import BASIC_STOPWORDS
 from wardline.operators.text import (
-    document_frequency, entity_token_counts, lower_split_size, term_frequency,
+    entity_token_counts, lower_split_size, term_frequency, term_stats,
     tokenize_notes, vocabulary_counts,
 )
 from wardline.operators.timeline import (
@@ -173,7 +173,7 @@ def q_vocabulary_counts(spark, sf_dir):
     FROM (SELECT doc_id, UNNEST({tokens_sql('text', SW)}) AS term FROM documents) GROUP BY term""")
 def q_corpus_vocabulary(spark, sf_dir):
     docs = tokenize_notes(read_table(spark, sf_dir, "documents").select("doc_id", "text"), SW)
-    return vocabulary_counts(docs).join(document_frequency(docs, doc="doc_id"), "term")
+    return term_stats(docs, doc="doc_id")
 
 
 @register("doc_term_freq", """

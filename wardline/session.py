@@ -22,7 +22,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # coalesce shuffle output to ~advisory size (64 MB), not to the core count
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": os.environ.get("WARDLINE_PARALLELISM_FIRST", "false"),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
