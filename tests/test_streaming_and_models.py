@@ -42,3 +42,17 @@ def test_mean_vector(spark):
                                "pid string, features array<double>")
     got = {r.pid: r.features for r in mean_vector(df).collect()}
     assert got == {"a": [2.0, 4.0], "b": [0.5, 0.5]}
+
+
+def test_topic_mixtures_sum_to_one(spark):
+    from wardline.operators.topics import fit_topics, top_terms, topic_features
+
+    df = spark.createDataFrame(
+        [(str(i % 5), i, (["alpha", "beta", "gamma"] if i % 2 else ["delta", "epsilon", "alpha"]) * 3)
+         for i in range(30)] + [("9", 99, [])], "pid string, note_id int, tokens array<string>")
+    tm = fit_topics(df, k=3, max_iter=5)
+    feats = topic_features(tm, df).collect()
+    assert {r.pid for r in feats} == {"0", "1", "2", "3", "4"}        # token-less note dropped
+    assert all(len(r.features) == 3 and abs(sum(r.features) - 1) < 1e-9 for r in feats)
+    tt = top_terms(tm, 2).collect()
+    assert len(tt) == 6 and all(t.term in {"alpha", "beta", "gamma", "delta", "epsilon"} for t in tt)
