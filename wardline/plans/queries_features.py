@@ -293,7 +293,7 @@ GRID = (0.0, 0.5, 1.0, 2.0, 4.0)   # weight of the severity term in the grid
          s AS (SELECT g.w, g.grid_pos, f.fold, f.f[1] + g.w * f.f[3] AS score, f.label FROM f, g),
          a AS ({AUC_SQL.format(by="w, grid_pos, fold", src="s")}),
          m AS (SELECT w, grid_pos, AVG(auc) AS mean_auc FROM a GROUP BY w, grid_pos)
-    SELECT w, grid_pos, mean_auc, CAST(grid_pos = (
+    SELECT w, grid_pos, ROUND(mean_auc, 12) AS mean_auc, CAST(grid_pos = (
         SELECT grid_pos FROM m WHERE mean_auc > 0 ORDER BY mean_auc DESC, grid_pos LIMIT 1) AS INTEGER) AS is_best
     FROM m""")
 def q_grid_mean_auc(spark, sf_dir):
@@ -305,7 +305,8 @@ def q_grid_mean_auc(spark, sf_dir):
          .select("fold", "label", F.col("g.w").alias("w"), F.col("g.grid_pos").alias("grid_pos"),
                  (F.col("features")[0] + F.col("g.w") * F.col("features")[2]).alias("score")))
     a = auc_midrank(s, by=["w", "grid_pos", "fold"])
-    return best_by_mean(a, ["w"], "auc", "grid_pos")
+    # means of 5 doubles depend on summation order in the last bit: round
+    return best_by_mean(a, ["w"], "auc", "grid_pos").withColumn("mean_auc", F.round("mean_auc", 12))
 
 
 add_cte("split_q_v", f"""
