@@ -35,10 +35,6 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(SESSION_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    # local runs work on MBs, not TBs: coalesce shuffle output to ~8 MB so
-    # CPU-heavy steps after a small shuffle (the tokenizer) still use every
-    # core.  Cluster sessions are passed in and keep their own sizing.
-    conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = os.environ.get("WARDLINE_ADVISORY_SIZE", "8m")
     conf["spark.driver.memory"] = os.environ.get("WARDLINE_DRIVER_MEMORY", "16g")
     conf.update(extra or {})
     for k, v in conf.items():
