@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions.values import add_hours
 from wardline.operators.text import tokenize_notes
+from wardline.session import cut_lineage
 
 MIN_TOKENS = 100
 
@@ -126,7 +127,8 @@ class NoteTimeline:
 
 def process_notes(cohort: DataFrame, notes: DataFrame, stopwords=None,
                   min_tokens: int = MIN_TOKENS, entity: str = "pid",
-                  ts: str = "chart_ts", text: str = "text") -> NoteTimeline:
+                  ts: str = "chart_ts", text: str = "text",
+                  materialize: bool = False) -> NoteTimeline:
     """M2: in-stay notes -> tokens -> entities with >= min_tokens kept tokens
     -> first note per entity -> cohort restricted to those entities.
 
@@ -140,6 +142,10 @@ def process_notes(cohort: DataFrame, notes: DataFrame, stopwords=None,
     # earliest of all its in-stay notes
     stats = toks.groupBy(entity).agg(F.sum(F.size("tokens")).cast("long").alias("n_tokens"),
                                      F.min(ts).alias("first_ts"))
+    if materialize:
+        # one row per entity: written once, so the cohort / first-note /
+        # kept-note outputs below no longer re-run the tokenizer
+        stats = cut_lineage(stats)
     qualified = stats.where(F.col("n_tokens") >= min_tokens)
     first = qualified.select(entity, "first_ts")
     kept_notes = in_stay.join(qualified.select(entity), entity, "left_semi")

@@ -54,7 +54,7 @@ def timeline(spark, sf_dir):
     t = load_views(spark, sf_dir)
     from wardline.operators.cohort import adult_cohort
     c = adult_cohort(t.patients, t.stays)
-    return c, filter_notes(t.notes), process_notes(c, filter_notes(t.notes), SW)
+    return c, filter_notes(t.notes), process_notes(c, filter_notes(t.notes), SW, materialize=True)
 
 
 def _union_hours(make) -> DataFrame:
