@@ -42,13 +42,20 @@ def load_csv_as_table(spark: SparkSession, path: str, table_name: str | None = N
     return df
 
 
-def write_single_file(df: DataFrame, path: str, header: bool = True) -> str:
+MAX_SINGLE_FILE_ROWS = 1_000_000
+
+
+def write_single_file(df: DataFrame, path: str, header: bool = True,
+                      max_rows: int = MAX_SINGLE_FILE_ROWS) -> str:
     """A *bounded* report table as one CSV part file in ``path``.
 
     Only for small result tables (metric rows, sweeps): ``coalesce(1)``
     funnels the rows through one writer task.  Large tables are written
     with the normal parallel writer.
     """
+    n = df.count()
+    if n > max_rows:
+        raise ValueError(f"{n} rows is not a report table; write it with the parallel writer")
     df.coalesce(1).write.mode("overwrite").option("header", header).csv(path)
     return path
 
