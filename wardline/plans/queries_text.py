@@ -50,11 +50,15 @@ def _notes(spark, sf_dir):
     return filter_notes(notes_view(spark, sf_dir))
 
 
-def timeline(spark, sf_dir):
+def timeline(spark, sf_dir, materialize=True):
+    """Cohort, filtered notes and the notes timeline.  ``materialize``
+    writes the per-entity token stats once (for queries that use the
+    cohort / first-note outputs next to the tokens); token-only queries
+    stay fully lazy."""
     t = load_views(spark, sf_dir)
     from wardline.operators.cohort import adult_cohort
     c = adult_cohort(t.patients, t.stays)
-    return c, filter_notes(t.notes), process_notes(c, filter_notes(t.notes), SW, materialize=True)
+    return c, filter_notes(t.notes), process_notes(c, filter_notes(t.notes), SW, materialize=materialize)
 
 
 def _union_hours(make) -> DataFrame:
@@ -86,7 +90,7 @@ def q_tokens_clean(spark, sf_dir):
 @register("tokens_in_stay", """
     SELECT note_id, pid, len(tokens) AS n_tokens, array_to_string(tokens, ' ') AS tokens FROM tokens_v""")
 def q_tokens_in_stay(spark, sf_dir):
-    _, _, tl = timeline(spark, sf_dir)
+    _, _, tl = timeline(spark, sf_dir, materialize=False)
     return tl.tokens.select("note_id", "pid", F.size("tokens").alias("n_tokens"),
                             F.array_join("tokens", " ").alias("tokens"))
 
@@ -101,7 +105,7 @@ def q_lower_split_size(spark, sf_dir):
 @register("entity_token_counts", """
     SELECT pid, n_tokens, CAST(n_tokens >= 100 AS INTEGER) AS qualified FROM token_counts_v""")
 def q_entity_token_counts(spark, sf_dir):
-    _, _, tl = timeline(spark, sf_dir)
+    _, _, tl = timeline(spark, sf_dir, materialize=False)
     return tl.token_counts.withColumn("qualified", (F.col("n_tokens") >= 100).cast("int"))
 
 
@@ -165,7 +169,7 @@ def q_filter_hours_tokens(spark, sf_dir):
 
 @register("vocabulary_counts", "SELECT term, COUNT(*) AS n FROM (SELECT UNNEST(tokens) AS term FROM tokens_v) GROUP BY term")
 def q_vocabulary_counts(spark, sf_dir):
-    return vocabulary_counts(timeline(spark, sf_dir)[2].tokens)
+    return vocabulary_counts(timeline(spark, sf_dir, materialize=False)[2].tokens)
 
 
 @register("corpus_vocabulary", f"""
@@ -180,7 +184,7 @@ def q_corpus_vocabulary(spark, sf_dir):
     SELECT note_id, term, COUNT(*) AS count FROM (SELECT note_id, UNNEST(tokens) AS term FROM tokens_v)
     GROUP BY note_id, term""")
 def q_doc_term_freq(spark, sf_dir):
-    return term_frequency(timeline(spark, sf_dir)[2].tokens)
+    return term_frequency(timeline(spark, sf_dir, materialize=False)[2].tokens)
 
 
 # second text source: conversations (entity = conversation, turn = 6 hours)
