@@ -8,7 +8,7 @@ from wardline.operators.classify import fit_linear_svm, raw_scores
 from wardline.operators.features import mean_vector
 from wardline.operators.metrics import auc_midrank
 from wardline.session import scratch_path
-from wardline.streaming.notes import note_stats, start_note_stats
+from wardline.streaming.notes import latest_note_stats, note_stats, start_note_stats
 
 D = dt.datetime
 
@@ -27,6 +27,12 @@ def test_stream_equals_batch(spark):
     got = sorted(map(tuple, spark.table(name).collect()))
     want = sorted(map(tuple, note_stats(notes).collect()))
     assert got == want
+    out = scratch_path(spark, "test-stream-out")
+    q = start_note_stats(spark, src, notes.schema, name + "_p", output_dir=out)
+    q.processAllAvailable()
+    q.stop()
+    assert sorted(map(tuple, latest_note_stats(spark, out).select("pid", "first_ts", "n_tokens", "n_notes")
+                      .collect())) == want
 
 
 def test_svm_separates_separable_points(spark):

@@ -11,7 +11,7 @@ from wardline.plans.queries_text import SW
 from wardline.plans.oracle_text import tokens_sql
 from wardline.session import scratch_path
 from wardline.sources.testdata import notes_view
-from wardline.streaming.notes import start_note_stats
+from wardline.streaming.notes import latest_note_stats, start_note_stats
 
 
 @register("stream_note_stats", f"""
@@ -22,9 +22,10 @@ def q_stream_note_stats(spark, sf_dir):
     src = scratch_path(spark, "note-files")
     notes.repartition(4).write.parquet(src)          # 4 files -> 4 micro-batches
     name = f"note_stats_{uuid.uuid4().hex[:8]}"
-    q = start_note_stats(spark, src, notes.schema, name, SW)
+    out = scratch_path(spark, "note-stats")
+    q = start_note_stats(spark, src, notes.schema, name, SW, output_dir=out)
     try:
         q.processAllAvailable()
     finally:
         q.stop()
-    return spark.table(name)
+    return latest_note_stats(spark, out)
