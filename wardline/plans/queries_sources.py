@@ -29,9 +29,9 @@ def _fmt(c):
     return F.date_format(c, FMT)
 
 
-def stage_csv(spark, df: DataFrame, name: str) -> str:
+def stage_csv(spark, df: DataFrame, name: str, base: str | None = None) -> str:
     """Write ``df`` as header CSV (doubled-quote escaping) in the shared folder."""
-    path = f"{scratch_path(spark, 'csv')}/{name}"
+    path = f"{base or scratch_path(spark, 'csv')}/{name}"
     (df.write.mode("overwrite").option("header", True).option("escape", '"')
      .option("quoteAll", False).csv(path))
     return path
@@ -59,49 +59,61 @@ def q_view_name_from_path(spark, sf_dir):
 @register("load_patients", """
     SELECT CAST(pid AS VARCHAR) AS pid, is_male, dob, is_dead, dod, index_date FROM patients_v""")
 def q_load_patients(spark, sf_dir):
+    return loaders.patients(read_csv_strings(spark, stage_csv(spark, _raw_patients(spark, sf_dir), "PATIENTS.csv")))
+
+
+def _raw_patients(spark, sf_dir):
     p = load_views(spark, sf_dir).patients
-    raw = p.select(F.col("pid").cast("string").alias("SUBJECT_ID"),
+    return p.select(F.col("pid").cast("string").alias("SUBJECT_ID"),
                    F.when(F.col("is_male") == 1, "M").otherwise("F").alias("GENDER"),
                    _fmt("dob").alias("DOB"), _fmt("dod").alias("DOD"),
-                   F.col("is_dead").cast("string").alias("EXPIRE_FLAG"))
-    return loaders.patients(read_csv_strings(spark, stage_csv(spark, raw, "PATIENTS.csv")))
+                    F.col("is_dead").cast("string").alias("EXPIRE_FLAG"))
 
 
 @register("load_stays", """
     SELECT CAST(pid AS VARCHAR) AS pid, CAST(hadm_id AS VARCHAR) AS hadm_id,
            CAST(stay_id AS VARCHAR) AS stay_id, in_ts, out_ts FROM stays_v""")
 def q_load_stays(spark, sf_dir):
+    return loaders.stays(read_csv_strings(spark, stage_csv(spark, _raw_stays(spark, sf_dir), "ICUSTAYS.csv")))
+
+
+def _raw_stays(spark, sf_dir):
     s = load_views(spark, sf_dir).stays
-    raw = s.select(F.col("pid").cast("string").alias("SUBJECT_ID"), F.col("hadm_id").cast("string").alias("HADM_ID"),
+    return s.select(F.col("pid").cast("string").alias("SUBJECT_ID"), F.col("hadm_id").cast("string").alias("HADM_ID"),
                    F.col("stay_id").cast("string").alias("ICUSTAY_ID"), _fmt("in_ts").alias("INTIME"),
-                   _fmt("out_ts").alias("OUTTIME"))
-    return loaders.stays(read_csv_strings(spark, stage_csv(spark, raw, "ICUSTAYS.csv")))
+                    _fmt("out_ts").alias("OUTTIME"))
 
 
 @register("load_scores", """
     SELECT CAST(pid AS VARCHAR) AS pid, CAST(hadm_id AS VARCHAR) AS hadm_id, CAST(stay_id AS VARCHAR) AS stay_id,
            score, CASE WHEN hadm_id % 5 = 0 THEN 0.0 ELSE score_prob END AS score_prob FROM scores_v""")
 def q_load_scores(spark, sf_dir):
+    return loaders.scores(read_csv_strings(spark, stage_csv(spark, _raw_scores(spark, sf_dir), "SAPSII.csv")))
+
+
+def _raw_scores(spark, sf_dir):
     s = load_views(spark, sf_dir).scores
-    raw = s.select(F.col("pid").cast("string").alias("subject_id"), F.col("hadm_id").cast("string").alias("hadm_id"),
+    return s.select(F.col("pid").cast("string").alias("subject_id"), F.col("hadm_id").cast("string").alias("hadm_id"),
                    F.col("stay_id").cast("string").alias("icustay_id"), F.col("score").cast("string").alias("sapsii"),
                    # every 5th probability cell is left empty: loads as 0.0
                    F.when(F.col("hadm_id") % 5 == 0, F.lit(None))
                     .otherwise(F.col("score_prob").cast("string")).alias("sapsii_prob"))
-    return loaders.scores(read_csv_strings(spark, stage_csv(spark, raw, "SAPSII.csv")))
 
 
 @register("load_flags", """
     SELECT CAST(pid AS VARCHAR) AS pid, CAST(hadm_id AS VARCHAR) AS hadm_id,
            UNNEST(generate_series(0, 29)) AS pos, UNNEST(flags) AS value FROM flags_v""")
 def q_load_flags(spark, sf_dir):
+    loaded = loaders.flags(read_csv_strings(spark, stage_csv(spark, _raw_flags(spark, sf_dir), "EHCOMORBIDITIES.csv")))
+    return loaded.select("pid", "hadm_id", F.posexplode("flags").alias("pos", "value"))
+
+
+def _raw_flags(spark, sf_dir):
     f = load_views(spark, sf_dir).flags
     cells = [F.when((F.col("flags")[i] == 0) & (F.col("hadm_id") % 7 == 0), F.lit(None))   # blank cells
              .otherwise(F.col("flags")[i].cast("string")).alias(n) for i, n in enumerate(FLAG_NAMES)]
-    raw = f.select(F.col("pid").cast("string").alias("subject_id"),
-                   F.col("hadm_id").cast("string").alias("hadm_id"), *cells)
-    loaded = loaders.flags(read_csv_strings(spark, stage_csv(spark, raw, "EHCOMORBIDITIES.csv")))
-    return loaded.select("pid", "hadm_id", F.posexplode("flags").alias("pos", "value"))
+    return f.select(F.col("pid").cast("string").alias("subject_id"),
+                    F.col("hadm_id").cast("string").alias("hadm_id"), *cells)
 
 
 @register("load_notes", """
@@ -110,17 +122,20 @@ def q_load_flags(spark, sf_dir):
            category, md5(text) AS text_md5
     FROM notes_v WHERE NOT contains(lower(category), 'discharge') AND hadm_id IS NOT NULL""")
 def q_load_notes(spark, sf_dir):
+    loaded = loaders.notes(read_csv_strings(spark, stage_csv(spark, _raw_notes(spark, sf_dir), "NOTEEVENTS.csv")))
+    return loaded.select("note_id", "pid", "hadm_id", "chart_ts", "category", F.md5("text").alias("text_md5"))
+
+
+def _raw_notes(spark, sf_dir):
     n = load_views(spark, sf_dir).notes
     k = F.col("note_id")
-    raw = n.select(k.cast("string").alias("ROW_ID"), F.col("pid").cast("string").alias("SUBJECT_ID"),
+    return n.select(k.cast("string").alias("ROW_ID"), F.col("pid").cast("string").alias("SUBJECT_ID"),
                    F.col("hadm_id").cast("string").alias("HADM_ID"),
                    F.date_format("chart_ts", "yyyy-MM-dd").alias("CHARTDATE"),
                    F.when(k % 3 == 0, F.lit(None)).otherwise(_fmt("chart_ts")).alias("CHARTTIME"),
                    F.when((k % 3 == 0) & (k % 2 == 0), _fmt("chart_ts")).alias("STORETIME"),
                    F.col("category").alias("CATEGORY"), F.col("description").alias("DESCRIPTION"),
                    F.col("text").alias("TEXT"))
-    loaded = loaders.notes(read_csv_strings(spark, stage_csv(spark, raw, "NOTEEVENTS.csv")))
-    return loaded.select("note_id", "pid", "hadm_id", "chart_ts", "category", F.md5("text").alias("text_md5"))
 
 
 @register("csv_style_clean", r"""
@@ -145,3 +160,22 @@ def q_single_file_sink(spark, sf_dir):
     report = REGISTRY["label_summary"][0](spark, sf_dir).drop("sum_age")
     path = write_single_file(report, scratch_path(spark, "report"))
     return read_csv_strings(spark, path)
+
+
+@register("loader_quality_report", """
+    SELECT 'patients_bad_dob' AS "check", COUNT(*) FILTER (WHERE dob IS NULL) AS n FROM patients_v
+    UNION ALL SELECT 'stays_missing_in', COUNT(*) FILTER (WHERE in_ts IS NULL) FROM stays_v
+    UNION ALL SELECT 'stays_missing_out', COUNT(*) FILTER (WHERE out_ts IS NULL) FROM stays_v
+    UNION ALL SELECT 'notes_bad_time', COUNT(*) FILTER (WHERE chart_ts IS NULL) FROM notes_f_v
+    UNION ALL SELECT 'patients_duplicate_pid', COUNT(*) FROM (SELECT pid FROM patients_v GROUP BY pid HAVING COUNT(*) > 1)
+    UNION ALL SELECT 'scores_duplicate_key', COUNT(*) FROM (SELECT 1 FROM scores_v GROUP BY pid, hadm_id, stay_id HAVING COUNT(*) > 1)
+    UNION ALL SELECT 'flags_duplicate_key', COUNT(*) FROM (SELECT 1 FROM flags_v GROUP BY pid, hadm_id HAVING COUNT(*) > 1)""")
+def q_loader_quality_report(spark, sf_dir):
+    """S10 end to end: all five tables staged in one folder, ``load_all``,
+    then the data-quality counts (Q25, Q26)."""
+    base = scratch_path(spark, "hospital")
+    for name, raw in (("PATIENTS.csv", _raw_patients), ("ICUSTAYS.csv", _raw_stays),
+                      ("SAPSII.csv", _raw_scores), ("EHCOMORBIDITIES.csv", _raw_flags),
+                      ("NOTEEVENTS.csv", _raw_notes)):
+        stage_csv(spark, raw(spark, sf_dir), name, base)
+    return loaders.quality_report(loaders.load_all(spark, base))
