@@ -11,15 +11,15 @@ DuckDB SQL in ``ORACLE_VIEWS`` so every query can be value-checked):
              every 3rd customer died some hours after the latest stay start
 * scores   : severity per order (o_orderkey % 164); every 17th order has none
 * flags    : 30 comorbidity flags per order, bit i of o_orderkey
-* notes    : one per document; pid = doc_id % 300, admission = that
+* notes    : one per document; pid = doc_id div 4 (four notes per patient,
+             so note-bearing patients grow with the corpus), admission = that
              patient's latest stay (every 50th note has none), time = stay
              start + (doc_id*7 % 400) hours, 'src0' documents are discharge
              summaries
 * conversations / events / labels: second text source, event timeline and
   document classes, used as is.
 
-All reads are column-pruned parquet scans; the notes adapter broadcasts the
-latest-stay rows of pids 0..299 only, a table bounded by 300 rows.
+All reads are column-pruned parquet scans; join strategies are left to AQE.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from wardline.functions.values import add_hours, ts_literal
 from wardline.operators.cohort import latest_interval
 
-NOTE_ENTITIES = 300          # notes are spread over pids 0..299
+NOTES_PER_ENTITY = 4         # notes doc_id 4p..4p+3 belong to patient p
 N_FLAGS = 30
 
 # fixed values: comorbidity flag names, in column order
@@ -99,15 +99,15 @@ def flags_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def notes_view(spark: SparkSession, sf_dir: str, stays: DataFrame | None = None) -> DataFrame:
     stays = stays if stays is not None else stays_view(spark, sf_dir)
-    # bounded broadcast: notes only ever point at pids 0..NOTE_ENTITIES-1
-    latest = (latest_interval(stays.where((F.col("pid") >= 0) & (F.col("pid") < NOTE_ENTITIES)))
+    latest = (latest_interval(stays)
               .select(F.col("pid").alias("_pid"), F.col("hadm_id").alias("_hadm"),
                       F.col("in_ts").alias("_in")))
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     d = F.col("doc_id")
-    return (docs.join(F.broadcast(latest), F.pmod(d, F.lit(NOTE_ENTITIES)) == F.col("_pid"), "left")
+    pid = F.floor(d / F.lit(NOTES_PER_ENTITY))
+    return (docs.withColumn("_p", pid).join(latest, F.col("_p") == F.col("_pid"), "left")
             .select(d.alias("note_id"),
-                    F.pmod(d, F.lit(NOTE_ENTITIES)).alias("pid"),
+                    F.col("_p").alias("pid"),
                     F.when(d % 50 == 0, F.lit(None)).otherwise(F.col("_hadm")).alias("hadm_id"),
                     add_hours(F.col("_in"), ((d * 7) % 400).cast("int")).alias("chart_ts"),
                     F.when(F.col("source") == "src0", F.lit("Discharge summary"))
@@ -175,12 +175,12 @@ ORACLE_VIEWS = {
     "flags_v": f"""
         SELECT o_custkey AS pid, o_orderkey AS hadm_id, [{_FLAG_SQL}] AS flags FROM orders""",
     "notes_v": f"""
-        SELECT d.doc_id AS note_id, d.doc_id % {NOTE_ENTITIES} AS pid,
+        SELECT d.doc_id AS note_id, d.doc_id // {NOTES_PER_ENTITY} AS pid,
                CASE WHEN d.doc_id % 50 = 0 THEN NULL ELSE l.hadm_id END AS hadm_id,
                l.in_ts + INTERVAL 1 HOUR * CAST((d.doc_id * 7) % 400 AS INTEGER) AS chart_ts,
                CASE WHEN d.source = 'src0' THEN 'Discharge summary' ELSE 'Nursing' END AS category,
                d.lang AS description, d.text
-        FROM documents d LEFT JOIN latest_v l ON d.doc_id % {NOTE_ENTITIES} = l.pid""",
+        FROM documents d LEFT JOIN latest_v l ON d.doc_id // {NOTES_PER_ENTITY} = l.pid""",
     "conv_notes_v": """
         SELECT conv_id AS pid, conv_id * 100000 + turn AS note_id,
                TIMESTAMP '2024-01-01' + INTERVAL 6 HOUR * CAST(turn AS INTEGER) AS chart_ts,
