@@ -1,9 +1,8 @@
 """Session set-up and lineage cutting.
 
-The library never creates its own temporary folders on a cluster: the
-only place it writes intermediate data is the shared folder the cluster
-names in ``spark.checkpoint.dir``.  ``build_session`` (tests, bench)
-fills that setting in only when it is unset.
+The only place the library writes intermediate data is the shared folder
+the cluster names in ``spark.checkpoint.dir``.  Without one, a local
+session uses a scratch folder of its own and a cluster session is an error.
 """
 
 from __future__ import annotations
@@ -14,6 +13,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# application id -> shared folder of that application
+_FOLDERS: dict[str, str] = {}
+
 # Settings every session should carry: UTC so millisecond arithmetic on
 # instants never sees DST, AQE for runtime coalescing / skew splitting.
 SESSION_DEFAULTS = {
@@ -46,29 +48,45 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a scratch one only if unset."""
+    """The shared folder for intermediate data, set once per application.
+
+    It is the folder the session names in ``spark.checkpoint.dir`` (or an
+    earlier ``setCheckpointDir``).  Where neither is set, a ``local[...]``
+    session gets one scratch folder; on a cluster that is an error, since
+    each executor would write to its own disk.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _FOLDERS:
+        return _FOLDERS[app]
     path = spark.conf.get("spark.checkpoint.dir", None) or None
     if path is None:
-        path = spark.sparkContext._jsc.sc().getCheckpointDir()
-        path = path.get() if path.isDefined() else None
+        earlier = spark.sparkContext._jsc.sc().getCheckpointDir()
+        path = earlier.get() if earlier.isDefined() else None
     if path is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="wardline-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    spark.sparkContext.setCheckpointDir(path)  # for solvers that checkpoint by themselves
+    _FOLDERS[app] = path.rstrip("/")
+    return _FOLDERS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint directory."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/wardline-stage/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder name under the shared folder."""
+    return f"{ensure_checkpoint_dir(spark)}/wardline-stage/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (written to ``spark.checkpoint.dir``).
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back.
 
-    Used where a long iterative pipeline reuses one table many times, so a
-    lost executor re-reads the written table instead of recomputing the
-    whole lineage.  Never ``localCheckpoint``.
+    Cuts the lineage: later plans prune columns and push filters into the
+    written table, and a lost executor costs a re-read, not a recomputation.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The same as :func:`stored`; the name the pipelines use."""
+    return stored(df, "lineage")
