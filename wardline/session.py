@@ -90,3 +90,16 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The same as :func:`stored`; the name the pipelines use."""
     return stored(df, "lineage")
+
+
+def ship_library(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Enough where workers see the driver's file system (local sessions); a
+    cluster ships the package with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
