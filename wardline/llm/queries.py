@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import exact, near
+from wardline.llm import exact, near, packing, records
+from wardline.session import ship_library
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -17,8 +18,12 @@ LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz
 
 def query(name: str, sql: str | None = None):
     def add(fn):
-        QUERIES[name] = (fn, sql)
-        return fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_library(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = (run, sql)
+        return run
     return add
 
 
@@ -26,6 +31,25 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+END_ID = 2
+
+
+@query("op1_best_fit_packing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), END_ID, capacity=1024)
+
+
+@query("op6_binary_records")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.encode_and_read(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), END_ID)
+
+
 @query("op8_exact_dedup", """
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
        doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
