@@ -80,6 +80,14 @@ def span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers:
     return mix(h + (ends - starts).astype(U64) * U64(0x9E3779B97F4A7C15))
 
 
+def byte_span_hash(byte_values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return span_hash(byte_values, starts, ends, _P)
+
+
+def word_span_hash(word_hash: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return span_hash(word_hash, starts, ends, _Q)
+
+
 def window_hash(word_hash: np.ndarray, k: int) -> np.ndarray:
     """Hash of every k consecutive word hashes (entry i: words i .. i+k-1)."""
     m = len(word_hash) - k + 1

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import exact, near, packing, records
+from wardline.llm import exact, line_quality, near, packing, records
 from wardline.session import ship_library
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -45,6 +45,38 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), END_ID, capacity=1024)
 
 
+QUALITY_CTES = f"""
+d AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t FROM {{docs}}),
+w AS (SELECT *, {WORDS.format("t")} AS w FROM d),
+win AS (SELECT doc_id, i, array_to_string(w[i : i + 7], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM w WHERE len(w) >= 8)),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, s) AS c FROM win) WHERE c > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range(0, 8) r(k) GROUP BY doc_id),
+raw AS (SELECT doc_id, host, t, unnest(string_split(t, chr(10))) AS line FROM d),
+lines AS (SELECT *, {WORDS.format("regexp_replace(" + LOWER.format("line") + ", '[0-9]', '0', 'g')")} AS lw FROM raw),
+full_lines AS (SELECT *, array_to_string(lw, ' ') AS norm FROM lines WHERE len(lw) > 0),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM full_lines GROUP BY doc_id),
+held AS (SELECT host, norm, count(DISTINCT t) AS docs FROM full_lines WHERE len(lw) <= 40 GROUP BY 1, 2),
+hosts AS (SELECT host, count(DISTINCT t) AS total FROM d GROUP BY 1),
+over AS (SELECT host, norm FROM held JOIN hosts USING (host) WHERE docs > 10 AND docs > total * 0.01::DOUBLE),
+gone AS (SELECT doc_id, sum(len(lw))::BIGINT AS n FROM full_lines JOIN over USING (host, norm) WHERE len(lw) <= 40 GROUP BY 1),
+judged AS (
+SELECT w.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+       len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines,
+       coalesce(rep.n, 0) AS n_repeat_words, coalesce(gone.n, 0) AS n_removed_words,
+       len(w) < 20 OR 100 * coalesce(rep.n, 0) > 30 * len(w) AS base_failed
+FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN gone USING (doc_id))"""
+
+
+@query("op2_line_quality", f"WITH {QUALITY_CTES.format(docs='documents')}" + """
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_removed_words, base_failed,
+       NOT base_failed AND 100 * (n_words - n_removed_words) >= 30 * n_words AS kept FROM judged""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.judge(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        F.col("n_removed_words").cast("long").alias("n_removed_words"), "base_failed", "kept")
+
+
 @query("op6_binary_records")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.encode_and_read(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), END_ID)
