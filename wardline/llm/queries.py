@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import exact, line_quality, near, packing, records
+from wardline.llm import exact, line_quality, near, packing, records, substring
 from wardline.session import ship_library
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -77,6 +77,22 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_removed_words").cast("long").alias("n_removed_words"), "base_failed", "kept")
 
 
+@query("op3_substring_dedup", f"""
+WITH w AS (SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS w FROM documents),
+win AS (SELECT doc_id, i, sha256(array_to_string(w[i : i + 49], ' ')) AS s
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM w WHERE len(w) >= 50)),
+hit AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY s) AS least FROM win) WHERE doc_id > least),
+gone AS (SELECT DISTINCT doc_id, i + k AS pos FROM hit, range(0, 50) r(k)),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS pos FROM w),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY pos) AS t, count(*) AS n
+         FROM word ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT w.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (substring.repeats(documents(spark, sf_dir), with_text=False)
+            .select("doc_id", "n_words", "n_removed", "kept_sha256"))
+
+
 @query("op6_binary_records")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.encode_and_read(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), END_ID)
