@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import exact, line_quality, near, packing, records, substring
+from wardline.llm import exact, line_quality, mixing, near, packing, records, substring
 from wardline.session import ship_library
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -93,6 +93,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_words", "n_removed", "kept_sha256"))
 
 
+@query("op4_cube_mixing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (mixing.draw(documents(spark, sf_dir))
+            .select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), "copies"))
+
+
 @query("op6_binary_records")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.encode_and_read(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), END_ID)
