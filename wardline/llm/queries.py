@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import exact, line_quality, mixing, near, packing, records, substring
+from wardline.llm import chunks, exact, line_quality, mixing, near, packing, records, substring
 from wardline.session import ship_library
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -134,5 +134,26 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(documents(spark, sf_dir))
 
 
+@query("op10_line_chunks", """
+WITH line AS (SELECT doc_id, x, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS i FROM (
+       SELECT doc_id, unnest(l) AS x, unnest(range(0, len(l))) AS i
+       FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))),
+hashed AS (SELECT *, ('0x' || substr(md5(x), 1, 8))::BIGINT AS h FROM line),
+rolled AS (SELECT *, ((h + 31 * coalesce(lag(h) OVER w, 0)) % 2147483647) % 3 = 2 AS ends FROM hashed
+           WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+placed AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING
+           AND 1 PRECEDING), 0) AS place FROM rolled),
+chunk AS (SELECT doc_id, place, count(*) AS n, string_agg(x, chr(10) ORDER BY i) AS t FROM placed GROUP BY 1, 2),
+gone AS (SELECT doc_id, place, n FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id, place) AS r
+         FROM chunk WHERE n > 1) WHERE r > 1),
+kept AS (SELECT doc_id, string_agg(t, chr(10) ORDER BY place) AS t FROM chunk ANTI JOIN gone USING (doc_id, place)
+         GROUP BY 1)
+SELECT c.doc_id, c.n_lines, coalesce(g.n, 0)::BIGINT AS n_removed_lines, sha256(coalesce(k.t, '')) AS kept_sha256
+FROM (SELECT doc_id, sum(n)::BIGINT AS n_lines FROM chunk GROUP BY 1) c
+LEFT JOIN (SELECT doc_id, sum(n) AS n FROM gone GROUP BY 1) g USING (doc_id) LEFT JOIN kept k USING (doc_id)""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.dedup_lines(documents(spark, sf_dir))
+
+
 def all_queries() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
     return dict(QUERIES)
