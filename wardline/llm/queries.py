@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import chunks, exact, line_quality, mixing, near, packing, records, substring
+from wardline.llm import chunks, exact, line_quality, mixing, near, packing, records, substring, urls
 from wardline.session import ship_library
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -104,6 +104,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.encode_and_read(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), END_ID)
 
 
+@query("op7_url_filter")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 @query("op8_exact_dedup", """
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
        doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
