@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import chunks, exact, line_quality, mixing, near, packing, records, substring, urls
+from wardline.llm import chunks, exact, line_quality, mixing, near, packing, records, substring, toxicity, urls
 from wardline.session import ship_library
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -99,6 +99,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), "copies"))
 
 
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 @query("op6_binary_records")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.encode_and_read(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), END_ID)
