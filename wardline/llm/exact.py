@@ -69,17 +69,17 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = stored(full.drop("_text"), "digests")
     groups = (merge_tree(rows, keep, runs, fan_in).where("_n > 1")
               .select(*KEY, F.col("_best._id").alias("_keep"), F.col("_n")))
-    members = stored(full.join(stored(groups, "groups"), KEY), "members")
+    members = stored(full.join(stored(groups, "groups").hint("merge"), KEY), "members")
     same = F.col("_id").eqNullSafe(F.col("_keep"))
     heads = members.where(same).dropDuplicates(KEY).select(*KEY, F.col("_text").alias("_head"))
-    checked = members.join(heads, KEY).withColumn("_equal", F.col("_text") == F.col("_head"))
+    checked = members.join(heads.hint("merge"), KEY).withColumn("_equal", F.col("_text") == F.col("_head"))
     # digest collisions, should there be any: grouped by text, and taken from the group's count
     odd = stored(checked.where(~F.col("_equal")).drop("_head"), "collisions")
     by_text = odd.groupBy(*KEY, "_text").agg(_first(keep).alias("_best"), F.count(F.lit(1)).alias("_m"))
-    regrouped = (odd.join(by_text, [*KEY, "_text"])
+    regrouped = (odd.join(by_text.hint("merge"), [*KEY, "_text"])
                  .select("_id", *KEY, F.col("_best._id").alias("_keep"), F.col("_m").alias("_n")))
     less = odd.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_less"))
-    equal = (checked.where("_equal").join(less, KEY, "left")
+    equal = (checked.where("_equal").join(less.hint("merge"), KEY, "left")
              .select("_id", *KEY, "_keep", (F.col("_n") - F.coalesce("_less", F.lit(0))).alias("_n")))
     verified = (equal.unionByName(regrouped).dropDuplicates(["_id", *KEY])
                 .select(F.col("_id").alias("_vid"), *[F.col(k).alias("_v" + k) for k in KEY], "_keep", "_n"))
@@ -87,7 +87,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 F.col("_id").eqNullSafe(F.col("_vid")))
     found = F.col("_n").isNotNull()
     keep_id = F.when(found, F.col("_keep")).otherwise(F.col("_id"))
-    return rows.join(verified, on, "left").select(
+    return rows.join(verified.hint("merge"), on, "left").select(
         F.col("_id").alias(id_col), keep_id.alias("keep_id"),
         F.coalesce("_n", F.lit(1)).cast("long").alias("group_size"),
         F.col("_id").eqNullSafe(keep_id).alias("kept"), F.lower(F.hex("_sha")).alias("text_sha256"))
@@ -101,4 +101,4 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sha = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
     rows = docs.withColumn("_sha", sha)
     on = F.col(id_col).eqNullSafe(F.col("_kid")) & (F.col("_sha") == F.col("_ksha"))
-    return rows.join(kept, on, "left_semi").dropDuplicates([id_col, "_sha"]).drop("_sha")
+    return rows.join(kept.hint("merge"), on, "left_semi").dropDuplicates([id_col, "_sha"]).drop("_sha")
