@@ -27,6 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardline.llm.rows import packed, unpacked
 from wardline.session import stored
 
 RUNS = 64        # leaf runs of the tree
@@ -71,7 +72,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
               .select(*KEY, F.col("_best._id").alias("_keep"), F.col("_n")))
     members = stored(full.join(stored(groups, "groups").hint("merge"), KEY), "members")
     same = F.col("_id").eqNullSafe(F.col("_keep"))
-    heads = members.where(same).dropDuplicates(KEY).select(*KEY, F.col("_text").alias("_head"))
+    heads = stored(members.where(same).dropDuplicates(KEY).select(*KEY, F.col("_text").alias("_head")), "heads")
     checked = members.join(heads.hint("merge"), KEY).withColumn("_equal", F.col("_text") == F.col("_head"))
     # digest collisions, should there be any: grouped by text, and taken from the group's count
     odd = stored(checked.where(~F.col("_equal")).drop("_head"), "collisions")
@@ -99,6 +100,6 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = (exact_groups(docs, id_col, text_col, keep, **tree).where("kept")
             .select(F.col(id_col).alias("_kid"), F.unhex("text_sha256").alias("_ksha")).dropDuplicates())
     sha = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
-    rows = docs.withColumn("_sha", sha)
-    on = F.col(id_col).eqNullSafe(F.col("_kid")) & (F.col("_sha") == F.col("_ksha"))
-    return rows.join(kept.hint("merge"), on, "left_semi").dropDuplicates([id_col, "_sha"]).drop("_sha")
+    rows = packed(docs, _id=F.col(id_col), _sha=sha)
+    on = F.col("_id").eqNullSafe(F.col("_kid")) & (F.col("_sha") == F.col("_ksha"))
+    return unpacked(rows.join(kept.hint("merge"), on, "left_semi").dropDuplicates(["_id", "_sha"]), docs)
