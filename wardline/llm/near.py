@@ -8,9 +8,10 @@
    centres per bucket group, so a bucket of any size costs its own size.
    Buckets whose members are then all connected need nothing more.
 4. Buckets that still hold several components propose every pair of classes
-   of different components.  A bucket with more than ``FINE`` classes is
-   first split by the pair's second (then third) common bucket; after the
-   last split all remaining pairs are proposed, there is no cap.
+   of different components.  Buckets with more than ``FINE`` classes (texts
+   around a passage that many share) do so by rare shingles instead, an exact
+   way without a cap: of two sets with the wanted similarity, one's rarest
+   shingles must hold one of the other's (see ``_rare_pairs``).
 5. Each proposed pair is compared in batches of ``BATCH`` signature values.
    With m of n values equal, P(similarity >= threshold) under a uniform prior
    is P(Binomial(n + 1, threshold) <= m); a pair is pruned as soon as that
@@ -39,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.llm import kernels as K
+from wardline.llm.rows import packed, unpacked
 from wardline.session import stored
 
 SHINGLE = 5
@@ -47,7 +49,8 @@ BATCH = 16
 MISS = 1e-6
 CENTRES = 6          # different centre orders over the bands
 STAR_ROUNDS = 2
-FINE = 64            # larger buckets are split by a second common bucket first
+FINE = 16            # larger buckets propose pairs by rare shingles
+CELLS = 1 << 20      # cells of the table of shingle frequencies; any content gives a valid order
 
 _rng = np.random.default_rng(5)
 _MUL = (_rng.integers(0, 2**31, BANDS * ROWS, dtype=np.int64) * 2 + 1).astype(np.uint32)
@@ -184,10 +187,10 @@ def components(links: DataFrame, start: DataFrame | None = None) -> DataFrame:
         # large star: every node's larger neighbours go to its smallest neighbour (or itself)
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = (both.join(least, "a").where("b > a").select(F.col("m").alias("a"), "b").where("a < b").distinct())
+        large = (both.join(least.hint("merge"), "a").where("b > a").select(F.col("m").alias("a"), "b").where("a < b").distinct())
         # small star: every node and its smaller neighbours go to the smallest of them
         least = large.groupBy("b").agg(F.min("a").alias("m"))
-        small = large.join(least, "b")
+        small = large.join(least.hint("merge"), "b")
         edges = stored(small.select(F.col("m").alias("a"), F.col("a").alias("b")).where("a < b")
                        .unionByName(least.select(F.col("m").alias("a"), "b")).distinct(), "edges")
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -200,48 +203,94 @@ def components(links: DataFrame, start: DataFrame | None = None) -> DataFrame:
 def _confirmed(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, percent: int, miss: float) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the threshold."""
     sa, sb = (sigs.select(F.col("id").alias(x), F.col("sig").alias(f"s{x}")) for x in "ab")
-    alive = stored(pairs.join(sb, "b").join(sa, "a").select("a", "b", "sa", "sb")
+    alive = stored(pairs.join(sb.hint("merge"), "b").join(sa.hint("merge"), "a").select("a", "b", "sa", "sb")
                    .mapInArrow(_pruner(percent / 100, miss), "a long, b long"), "survivors")
     ta, tb = (texts.select(F.col("id").alias(x), F.col("text").alias(f"t{x}")) for x in "ab")
-    full = alive.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb")
+    full = alive.join(tb.hint("merge"), "b").join(ta.hint("merge"), "a").select("a", "b", "ta", "tb")
     return full.mapInArrow(_verifier(percent), "a long, b long")
 
 
 def _unresolved(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Bucket members with their component, of buckets with several components."""
-    named = (members.join(roots.withColumnRenamed("root", "comp"), "id", "left")
+    named = (members.join(roots.withColumnRenamed("root", "comp").hint("merge"), "id", "left")
              .withColumn("comp", F.coalesce("comp", "id")))
     open_ = (named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                          F.count(F.lit(1)).alias("size")).where("lo < hi").select("bucket", "size"))
-    return stored(named.join(stored(open_, "open"), "bucket"), "unresolved")
+    return stored(named.join(stored(open_, "open").hint("merge"), "bucket"), "unresolved")
 
 
 def _star_pairs(members: DataFrame, round_no: int) -> DataFrame:
     order = F.xxhash64("id", F.pmod("band", F.lit(CENTRES)), F.lit(round_no))
     centre = stored(members.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), "id", "comp")).alias("c"))
                     .select("bucket", F.col("c.id").alias("c"), F.col("c.comp").alias("cc")), "centres")
-    near = members.join(centre, "bucket").where("id != c and comp != cc")
+    near = members.join(centre.hint("merge"), "bucket").where("id != c and comp != cc")
     return near.select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
 
 
-def _cross_pairs(members: DataFrame, fine: int, level: int = 0) -> DataFrame:
-    """Every pair of different components that shares a bucket (and, in large buckets, further ones)."""
-    def pairs(rows: DataFrame) -> DataFrame:
-        x, y = (rows.select("bucket", F.col("id").alias(i), F.col("comp").alias("c" + i)) for i in "ab")
-        return x.join(y, "bucket").where("a < b and ca != cb").select("a", "b")
+def _bucket_pairs(members: DataFrame) -> DataFrame:
+    """Every pair of different components that shares a bucket."""
+    x, y = (members.select("bucket", F.col("id").alias(i), F.col("comp").alias("c" + i)) for i in "ab")
+    return x.join(y, "bucket").where("a < b and ca != cb").select("a", "b")
 
-    if level == 2:
-        return pairs(members).distinct()
-    big = members.where(F.col("size") > fine)
-    other = members.select("id", F.col("bucket").alias("other")).distinct()
-    split = (big.join(other, "id").where("other != bucket")
-             .select(F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other")).alias("bucket"),
-                     "id", "comp").distinct())
-    split = stored(split, "split")
-    sizes = (split.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"),
-                                         F.max("comp").alias("hi")).where("lo < hi").select("bucket", "size"))
-    split = stored(split.join(stored(sizes, "sizes"), "bucket"), "split")
-    return pairs(members.where(F.col("size") <= fine)).unionByName(_cross_pairs(split, fine, level + 1)).distinct()
+
+def _counter(batches):
+    """(cell, n): how many documents hold a shingle of each cell of the frequency table."""
+    cells = np.zeros(CELLS, np.int64)
+    for rb in batches:
+        for _, sets in shingle_sets(rb.column(0)):
+            cells += np.bincount((np.concatenate(sets) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+    at = np.flatnonzero(cells)
+    yield K.batch(["cell", "n"], [at, cells[at]])
+
+
+def _prefixer(frequency, percent: int):
+    def prefixes(batches):
+        table = frequency.value
+        for rb in batches:
+            ids = rb.column(0).to_numpy()
+            for b, sets in shingle_sets(rb.column(1)):
+                out = []
+                for i, s in zip(ids[b.rows], sets):
+                    n = len(s)
+                    order = np.lexsort((s, table[(s % np.uint64(CELLS)).astype(np.int64)]))
+                    long = n - -(-percent * n // 100) + 1
+                    short = n - -(-2 * percent * n // (100 + percent)) + 1
+                    at = np.arange(long)
+                    out.append((np.full(long, i), K.signed(s[order[:long]]), np.full(long, n), n - at, at < short))
+                yield K.batch(["id", "shingle", "n", "rest", "short"], [np.concatenate(c) for c in zip(*out)])
+
+    return prefixes
+
+
+def _rare_pairs(texts: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a rare shingle.
+
+    In any order of all shingles, two sets that reach the similarity t, the
+    smaller of size n and the larger of size m, share one of the first
+    n - ceil(2 t n / (1 + t)) + 1 and of the first m - ceil(t m) + 1.  The order
+    is by frequency (in a table of ``CELLS`` cells), so what many documents
+    share comes last and seldom counts.
+    """
+    spark = texts.sparkSession
+    counts = (texts.select("text").mapInArrow(_counter, "cell long, n long").groupBy("cell")
+              .agg(F.sum("n").alias("n")).toPandas())                  # CELLS rows at most
+    table = np.zeros(CELLS, np.int64)
+    table[counts["cell"].to_numpy(np.int64)] = counts["n"].to_numpy(np.int64)
+    frequency = spark.sparkContext.broadcast(table)
+    rows = stored(texts.select("id", "text").mapInArrow(_prefixer(frequency, percent),
+                                                        "id long, shingle long, n long, rest long, short boolean")
+                  .join(comps.hint("merge"), "id"), "prefixes")
+    open_ = stored(rows.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                   .where("lo < hi").select("shingle"), "open")
+    rows = stored(rows.join(open_.hint("merge"), "shingle"), "rare")
+    x, y = (rows.where("short" if v == "x" else "true").select(
+        "shingle", F.col("id").alias(v), *[F.col(c).alias(c[0] + v) for c in ("n", "comp", "rest")]) for v in "xy")
+    near = x.join(y.hint("merge"), "shingle").where(
+        (F.col("cx") != F.col("cy")) & (100 * F.col("nx") >= percent * F.col("ny"))
+        # at the first common shingle what follows must still hold the wanted intersection
+        & ((100 + percent) * F.least("rx", "ry") >= percent * (F.col("nx") + F.col("ny")))
+        & ((F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))))
+    return near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75,
@@ -250,18 +299,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
     signed = stored(source.mapInArrow(_sign, "id long, n long, key binary, sig binary"), "signatures")
     classes = stored(signed.where("n > 0 and id is not null").groupBy("key").agg(F.min("id").alias("cid")), "classes")
-    membership = stored(signed.select("id", "n", "key").join(classes, "key", "left").select("id", "n", "cid"),
+    membership = stored(signed.select("id", "n", "key").join(classes.hint("merge"), "key", "left").select("id", "n", "cid"),
                         "membership")
     heads = classes.select(F.col("cid").alias("id"), "key")
-    sigs = stored(signed.where("n > 0").join(heads, ["id", "key"], "left_semi").dropDuplicates(["id"])
+    sigs = stored(signed.where("n > 0").join(heads.hint("merge"), ["id", "key"], "left_semi").dropDuplicates(["id"])
                   .select("id", "sig"), "heads")
     keys = sigs.mapInArrow(_bands, "id long, band int, bucket long")
     shared = stored(keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
-    members = stored(keys.join(shared.select("bucket"), "bucket"), "members")
+    members = stored(keys.join(shared.select("bucket").hint("merge"), "bucket"), "members")
     wanted = members.select("id").distinct()
-    sigs = stored(sigs.join(wanted, "id"), "candidates")
-    texts = stored(source.join(wanted, "id").join(heads_of(classes), ["id"], "left_semi").dropDuplicates(["id"]),
-                   "texts")
+    sigs = stored(sigs.join(wanted.hint("merge"), "id"), "candidates")
+    texts = stored(source.join(wanted.hint("merge"), "id").dropDuplicates(["id"]), "texts")
 
     roots = classes.select(F.col("cid").alias("id"), F.col("cid").alias("root")).limit(0)
     open_ = members.withColumn("comp", F.col("id"))
@@ -269,21 +317,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         links = stored(_confirmed(_star_pairs(open_, round_no), sigs, texts, percent, miss), "links")
         roots = stored(components(links, roots), "roots")
         open_ = _unresolved(members, roots)
-    links = stored(_confirmed(stored(_cross_pairs(open_, fine), "pairs"), sigs, texts, percent, miss), "links")
+    large = open_.where(F.col("size") > fine)
+    comps = stored(large.select("id", "comp").distinct(), "large")
+    pairs = (_bucket_pairs(open_.where(F.col("size") <= fine))
+             .unionByName(_rare_pairs(stored(texts.join(comps.select("id").hint("merge"), "id"), "texts"), comps, percent)))
+    links = stored(_confirmed(stored(pairs.distinct(), "pairs"), sigs, texts, percent, miss), "links")
     roots = stored(components(links, roots), "roots")
 
-    return (membership.join(roots.select(F.col("id").alias("cid"), "root"), "cid", "left")
+    return (membership.join(roots.select(F.col("id").alias("cid"), "root").hint("merge"), "cid", "left")
             .select("id", "n", F.coalesce("root", "cid", "id").alias("component_id"))
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
                     F.col("id").eqNullSafe(F.col("component_id")).alias("kept")))
 
 
-def heads_of(classes: DataFrame) -> DataFrame:
-    return classes.select(F.col("cid").alias("id"))
-
-
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents that stay, with all their columns."""
     kept = (near_duplicates(docs, id_col, text_col, **options).where("kept")
             .select(F.col(id_col).alias("_kid")).distinct())
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kid")), "left_semi")
+    rows = packed(docs, _id=F.col(id_col).cast("long"))
+    return unpacked(rows.join(kept.hint("merge"), F.col("_id").eqNullSafe(F.col("_kid")), "left_semi"), docs)
