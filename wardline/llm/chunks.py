@@ -20,6 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardline.llm.rows import packed, unpacked
 from wardline.session import stored
 
 ROLL = 2
@@ -142,7 +143,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def remove_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", divisor: int = DIVISOR) -> DataFrame:
     """The documents, all columns, without the removed chunks."""
     _, gone = repeated_chunks(docs, id_col, text_col, divisor)
-    content = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    on = F.col(id_col).eqNullSafe(F.col("_gid")) & (content == F.col("_gcontent"))
-    text = F.when(F.col("gone").isNull(), F.col(text_col)).otherwise(_kept_text(F.col(text_col), F.col("gone"), divisor))
-    return docs.join(gone.hint("merge"), on, "left").withColumn(text_col, text).select(*docs.columns)
+    rows = packed(docs, _id=F.col(id_col), _text=F.col(text_col), _content=F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    on = F.col("_id").eqNullSafe(F.col("_gid")) & (F.col("_content") == F.col("_gcontent"))
+    text = F.when(F.col("gone").isNull(), F.col("_text")).otherwise(_kept_text(F.col("_text"), F.col("gone"), divisor))
+    return unpacked(rows.join(gone.hint("merge"), on, "left"), docs, **{text_col: text})

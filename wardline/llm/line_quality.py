@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardline.llm import kernels as K
+from wardline.llm.rows import packed, unpacked
 from wardline.session import stored
 
 WINDOW = 8
@@ -171,13 +172,14 @@ def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     verdict = (judge(docs, id_col, text_col, host_col, **limits).where("kept")
                .select(F.col("doc_id").alias("_id"), F.col("content").alias("_content"), F.col("removed").alias("_gone"))
                .dropDuplicates(["_id", "_content"]))
-    on = (F.col(id_col).cast("long").eqNullSafe(F.col("_id"))
-          & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_content")))
-    out = docs.join(verdict.hint("merge"), on)
-    cleaned = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(
-        _without(F.when(F.col("_gone").isNotNull(), F.col(text_col)), "_gone"))
-    out = out.withColumn(text_col, cleaned)
+    rows = packed(docs, _key=F.col(id_col).cast("long"), _text=F.col(text_col),
+                  _hash=F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    out = rows.join(verdict.hint("merge"), F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_content")))
+    untouched = F.col("_gone").isNull()
+    out = out.withColumn("_text", F.when(untouched, F.col("_text")).otherwise(
+        _without(F.when(~untouched, F.col("_text")), "_gone")))
+    new = {text_col: F.col("_text")}
     if chars_col in docs.columns:
-        out = out.withColumn(chars_col, F.when(F.col("_gone").isNull(), F.col(chars_col))
-                             .otherwise(F.char_length(text_col).cast(docs.schema[chars_col].dataType)))
-    return out.select(*docs.columns)
+        new[chars_col] = F.when(untouched, F.col("_row").getField(chars_col)).otherwise(
+            F.char_length("_text").cast(docs.schema[chars_col].dataType))
+    return unpacked(out, docs, **new)

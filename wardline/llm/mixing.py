@@ -11,7 +11,8 @@ the number of documents and the number of words.  Flight: in a block of a
 source's documents, three undecided ones move along the null space of their
 two constraints until one of them reaches 0 or 1; two remain at most.  What
 remains of the blocks meets in the next level's blocks, until one block per
-source is left.  Landing: its two documents at most take the integer values
+source is left; a source's first block waits for that, so that the last one
+has a choice.  Landing: its two documents at most take the integer values
 that leave the smallest error in words, then in documents; two swaps of a
 taken for another document of that block at most then mend what a long
 document left over.
@@ -31,6 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardline.llm.rows import packed, unpacked
 from wardline.session import stored
 
 WEIGHTS = (5, 2, 1)
@@ -130,6 +132,8 @@ def settle(x: np.ndarray, size: np.ndarray, words: float, swaps: int = 2) -> np.
 
 def _decide(level: int, last: bool):
     def decide(rows: pd.DataFrame) -> pd.DataFrame:
+        if not last and rows["block"].iloc[0] == 0:
+            return rows
         rows = rows.sort_values(["doc_id", "content", "size"], kind="stable")
         seed = (level, int(rows["rank"].iloc[0]), int(rows["block"].iloc[0]))
         rng = np.random.default_rng(seed)
@@ -189,7 +193,7 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     drawn = (draw(docs, id_col, text_col, **options).groupBy("doc_id", "content")
              .agg(F.sum("copies").cast("int").alias("_copies")).where("_copies > 0")
              .withColumnsRenamed({"doc_id": "_id", "content": "_content"}))
-    key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    on = F.col("_id").eqNullSafe(F.col(id_col).cast("long")) & (F.col("_content") == F.col("_key"))
-    rows = docs.withColumn("_key", key).join(drawn.hint("merge"), on).dropDuplicates([id_col, "_key"])
-    return (rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns))
+    rows = packed(docs, _key=F.col(id_col).cast("long"), _hash=F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    on = F.col("_id").eqNullSafe(F.col("_key")) & (F.col("_content") == F.col("_hash"))
+    once = rows.join(drawn.hint("merge"), on).dropDuplicates(["_key", "_hash"])
+    return unpacked(once.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))), docs)

@@ -17,7 +17,8 @@
    are kept, the ``FEATURES`` most frequent at most.
 4. A document's score is 1 - (1 - base) * product(1 - weight) over its kept
    features, the heads of a word counting only where the word itself is not kept.
-   ``base`` is half the base rate, the score of a text without such a feature.
+   ``base``, the score of a text without such a feature, is half the base rate
+   (0.25 at most).
 
 Defined results: null and empty texts get the base score; without labelled
 rows every score is 0.05; null ids are scored and never trained on; labels
@@ -256,7 +257,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     kept = (counted.withColumn("w", weight).where(F.col("w") >= LEAST)
             .orderBy(F.col("toxic").desc(), "feature").limit(FEATURES).select("feature", "w").toArrow())
     weights = dict(zip(kept.column("feature").to_pylist(), kept.column("w").to_pylist()))
-    shared = spark.sparkContext.broadcast((counts, weights, rate / 2))   # FEATURES entries at most
+    shared = spark.sparkContext.broadcast((counts, weights, min(rate, 0.5) / 2))   # FEATURES entries at most
     out = rows.mapInArrow(_scorer(shared), "doc_id long, score double")
     return out.select(F.col("doc_id").alias(id_col), F.coalesce(_held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
                       "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
