@@ -43,10 +43,7 @@ def test_subtract(spark):
     assert subtract_entities(a, b).count() == 6
 
 
-def test_auto_split_switches_to_hash_above_limit(spark):
-    small = ids(spark, 1500)
-    assert sum(r.is_train for r in split_exact(small, 0.7, seed=3, exact="auto").collect()) == int(1500 * 0.7)
-    big = ids(spark, 2500)
-    auto = {r.pid: r.is_train for r in split_exact(big, 0.7, seed=3, exact="auto").collect()}
-    hashed = {r.pid: r.is_train for r in split_hash(big, 0.7, seed=3).collect()}
-    assert auto == hashed
+def test_null_keys_are_kept(spark):
+    df = ids(spark, 50).unionByName(spark.createDataFrame([(None,)], "pid string"))
+    rows = split_exact(df, 0.7, seed=3).collect()
+    assert len(rows) == 51 and sum(r.is_train for r in rows) == int(51 * 0.7)

@@ -37,3 +37,16 @@ def test_hot_entity_token_counts(spark):
     assert c.where("pid = 'hot'").first().n_tokens == 1000 * 4
     assert c.agg(F.sum("n_tokens")).first()[0] == 3000 * 4
     assert "partial_sum" in plan(c)
+
+
+def test_hot_entity_join(spark):
+    """A hot entity's notes against one cohort row; nothing is lost or doubled."""
+    from wardline.operators.timeline import notes_in_stay
+
+    rows = [(i, "hot" if i % 3 == 0 else f"p{i}", "h", D(2000, 1, 1, 1), "x") for i in range(3000)]
+    n = spark.createDataFrame(rows, "note_id long, pid string, hadm_id string, chart_ts timestamp_ntz, text string")
+    c = n.select("pid").distinct().selectExpr("pid", "'h' AS hadm_id", "timestamp_ntz'2000-01-01' AS in_ts",
+                                              "timestamp_ntz'2000-01-02' AS out_ts", "CAST(NULL AS timestamp_ntz) AS dod")
+    kept = notes_in_stay(c, n)
+    assert kept.count() == 3000 and kept.select("note_id").distinct().count() == 3000
+    assert kept.where("pid = 'hot'").count() == 1000

@@ -2,6 +2,8 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from wardline.sources import loaders
@@ -27,10 +29,16 @@ def test_table_name_rule():
 
 def test_loaders_missing_cells(spark):
     tmp = tempfile.mkdtemp(prefix="wl-src-")
-    p = write(tmp, "SAPSII.csv", 'subject_id,hadm_id,icustay_id,sapsii,sapsii_prob,hr_score\n'
-                                 '1,2,3,40,"0.2",\n1,2,4,,"",5\n')
+    others = [c for c in loaders.SCORE_COMPONENTS if c != "hr_score"]
+    blank = "," * len(others)
+    p = write(tmp, "SAPSII.csv", f"subject_id,hadm_id,icustay_id,sapsii,sapsii_prob,hr_score,{','.join(others)}\n"
+                                 f'1,2,3,40,"0.2",{blank}\n1,2,4,,"",5{blank}\n')
     rows = loaders.scores(read_csv_strings(spark, p)).orderBy("stay_id").collect()
     assert [(r.score, r.score_prob, r.hr_score) for r in rows] == [(40.0, 0.2, 0.0), (0.0, 0.0, 5.0)]
+    assert all(r[c] == 0.0 for r in rows for c in others)
+    short = write(tmp, "SHORT.csv", "subject_id,hadm_id,icustay_id,sapsii,sapsii_prob\n1,2,3,4,5\n")
+    with pytest.raises(KeyError):
+        loaders.scores(read_csv_strings(spark, short))
     pt = write(tmp, "PATIENTS.csv", "ROW_ID,SUBJECT_ID,GENDER,DOB,DOD,EXPIRE_FLAG\n"
                                     '1,10,"M",2000-01-01 00:00:00,2050-01-01 00:00:00,1\n'
                                     '2,11,"F",2000-01-01 00:00:00,2050-01-01 00:00:00,0\n'
@@ -50,7 +58,7 @@ def test_notes_loader_time_fallback(spark):
               "3,1,5,2000-01-04,,,Nursing,d,y\n"
               "4,1,,2000-01-04,,,Nursing,d,no admission\n"
               "5,1,5,2000-01-04,,,Discharge summary,d,z\n")
-    rows = {r.note_id: r for r in loaders.notes(read_csv_strings(spark, p)).collect()}
+    rows = {r.note_id: r for r in loaders.notes(read_csv_strings(spark, p, multiline=True)).collect()}
     assert set(rows) == {"1", "2", "3"}
     assert rows["1"].chart_ts == dt.datetime(2000, 1, 2, 10) and rows["1"].text == 'multi\nline, "quoted"'
     assert rows["2"].chart_ts == dt.datetime(2000, 1, 3, 11)

@@ -21,14 +21,14 @@ def test_stream_equals_batch(spark):
     src = scratch_path(spark, "test-stream")
     notes.repartition(4).write.parquet(src)
     name = "t_" + uuid.uuid4().hex[:8]
-    q = start_note_stats(spark, src, notes.schema, name)
+    q = start_note_stats(spark, src, notes.schema, name, files_per_trigger=1)
     q.processAllAvailable()
     q.stop()
     got = sorted(map(tuple, spark.table(name).collect()))
     want = sorted(map(tuple, note_stats(notes).collect()))
     assert got == want
     out = scratch_path(spark, "test-stream-out")
-    q = start_note_stats(spark, src, notes.schema, name + "_p", output_dir=out)
+    q = start_note_stats(spark, src, notes.schema, name + "_p", files_per_trigger=1, output_dir=out)
     q.processAllAvailable()
     q.stop()
     assert sorted(map(tuple, latest_note_stats(spark, out).select("pid", "first_ts", "n_tokens", "n_notes")

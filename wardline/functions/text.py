@@ -64,15 +64,9 @@ def keep_token(stopwords: Iterable[str] | None = None):
 
 def usable_stopwords(words: Iterable[str]) -> list[str]:
     """Stop words that could ever match a kept token (lower-case, long, letters)."""
-    import regex as _re
-
-    pat = _re.compile(r"^[\p{L}]+$")
-    out = set()
-    for w in words:
-        w = (w or "").strip()
-        if len(w) >= MIN_TOKEN_LENGTH and pat.match(w) and all(ord(c) <= 0xFFFF for c in w):
-            out.add(w)
-    return sorted(out)
+    stripped = {(w or "").strip() for w in words}
+    return sorted(w for w in stripped
+                  if len(w) >= MIN_TOKEN_LENGTH and w.isalpha() and all(ord(c) <= 0xFFFF for c in w))
 
 
 def tokenize(text: Column, stopwords: Iterable[str] | None = None) -> Column:

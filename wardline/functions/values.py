@@ -10,14 +10,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values --------------------------------------------------------
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"   # yyyy-MM-dd HH:mm:ss
 SENTINEL_FUTURE = "9000-01-01 00:00:00"    # stands for "no date" (dod, in, out)
 INDEX_DATE = "1971-01-01 00:00:00"         # constant index date of a patient
 MAX_SEVERITY = 163.0                        # largest SAPS II score
 MAX_AGE = 89.0                              # age cap used for de-identified ages
 DEIDENTIFIED_AGE = 300.0                    # ages at or above this are shifted
 MS_PER_DAY = 86_400_000
-MS_PER_HOUR = 3_600_000
 MS_PER_YEAR = 365 * MS_PER_DAY              # 365-day years
 ADULT_AGE = 18.0
 # --- end of fixed values -------------------------------------------------
@@ -51,7 +50,8 @@ def parse_timestamp(c: Column) -> Column:
     """
     t = F.trim(c)
     padded = F.when(F.length(t) == 10, F.concat(t, F.lit(" 00:00:00"))).otherwise(t)
-    return F.try_to_timestamp(blank_to_null(padded), F.lit(TIMESTAMP_FORMAT)).cast("timestamp_ntz")
+    # straight to the zone-less type: no session zone can move a value
+    return F.when(padded.rlike(TIMESTAMP_PATTERN), padded.try_cast("timestamp_ntz"))
 
 
 def ts_literal(value: str) -> Column:

@@ -74,8 +74,8 @@ def adult_cohort(patients: DataFrame, stays: DataFrame, missing: str = "null",
     return joined.withColumn("age", age).where(F.col("age") >= min_age)
 
 
-def death_labels(cohort: DataFrame, entity: str = "pid") -> DataFrame:
-    """The three mortality labels in one pass.
+def with_death_labels(cohort: DataFrame) -> DataFrame:
+    """The cohort with the three mortality labels as columns, in one pass.
 
     * ``label_in_stay``: in <= death <= out (open stay: no upper bound)
     * ``label_30d``:     death after out, truncated days since out <= 30
@@ -91,12 +91,13 @@ def death_labels(cohort: DataFrame, entity: str = "pid") -> DataFrame:
     def flag(c):
         return F.coalesce(c, F.lit(False)).cast("int")
 
-    return cohort.select(
-        entity,
-        flag(in_stay).alias("label_in_stay"),
-        flag(after & (days <= 30)).alias("label_30d"),
-        flag(after & (days <= 365)).alias("label_1y"),
-    )
+    return cohort.withColumns({"label_in_stay": flag(in_stay), "label_30d": flag(after & (days <= 30)),
+                               "label_1y": flag(after & (days <= 365))})
+
+
+def death_labels(cohort: DataFrame, entity: str = "pid") -> DataFrame:
+    """The three labels as a table of their own."""
+    return with_death_labels(cohort).select(entity, *LABEL_COLUMNS.values())
 
 
 LABEL_COLUMNS = {"in_stay": "label_in_stay", "30d": "label_30d", "1y": "label_1y"}

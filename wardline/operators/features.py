@@ -89,17 +89,14 @@ def long_to_array(long: DataFrame, names=None, entity: str = "pid") -> DataFrame
 
 
 def mean_vector(rows: DataFrame, entity: str = "pid", col: str = "features") -> DataFrame:
-    """Element-wise mean of equal-length arrays per entity.
-
-    ``posexplode`` + ``avg`` per (entity, position) keeps the work
-    distributed and partially aggregated; the re-assembled array has a
-    fixed length k, so ``collect_list`` per entity is bounded by k.
-    """
-    e = rows.select(entity, F.posexplode(col).alias("pos", "v"))
-    m = e.groupBy(entity, "pos").agg(F.avg("v").alias("v"))
-    return (m.groupBy(entity)
-            .agg(F.array_sort(F.collect_list(F.struct("pos", "v"))).alias("_s"))
-            .select(entity, F.transform("_s", lambda s: s["v"]).alias(col)))
+    """Element-wise mean of equal-length arrays per entity, one
+    partial aggregate (``Summarizer``)."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    v = rows.select(entity, array_to_vector(col).alias("_v"))
+    return (v.groupBy(entity).agg(Summarizer.mean(F.col("_v")).alias("_m"))
+            .select(entity, vector_to_array("_m").alias(col)))
 
 
 def labelled_points(features: DataFrame, labels: DataFrame, entity: str = "pid",

@@ -6,9 +6,9 @@ for positives p(s) and negatives q(s) at each distinct score s,
 ``AUC = sum_s p(s) * (negatives below s + q(s)/2) / (P * N)``.
 "Negatives below s" is a running sum over distinct scores, computed per
 quantile bucket of the score (see ``ranking``), so no evaluation is ever
-sorted in a single task.  Every summand is a multiple of 1/2, so the sums
-are exact in double precision and the result is the same bit for bit in
-any engine.
+sorted in a single task.  Twice every summand is an integer; they are summed
+as ``decimal(38, 0)`` and divided once, so the result does not depend on the
+order of summation.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from wardline.operators.ranking import bucketed_running_sum
 
-AUC_BUCKETS = 256
+COARSE = 16      # the bucket of a score is looked up among every COARSE-th bound first
 
 
 def confusion_counts(pred: DataFrame, score: str = "score", label: str = "label",
@@ -59,28 +59,46 @@ def confusion_counts(pred: DataFrame, score: str = "score", label: str = "label"
 
 
 def auc_midrank(pred: DataFrame, score: str = "score", label: str = "label",
-                by: Sequence[str] = (), buckets: int = AUC_BUCKETS) -> DataFrame:
+                by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """Area under the ROC curve per group, ties counted half.
 
-    Null when a group has no positives or no negatives.
+    Null when a group has no positives or no negatives.  ``buckets`` (default:
+    the session's shuffle partitions, so tasks follow the cluster) only says
+    how finely the running sum is cut.
     """
     by = list(by)
+    buckets = buckets or max(COARSE, int(pred.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     g = (pred.groupBy(*by, score)
          .agg(F.sum((F.col(label) > 0).cast("long")).alias("_p"),
               F.sum((F.col(label) <= 0).cast("long")).alias("_q")))
+    return auc_from_counts(g.withColumnsRenamed({"_p": "p", "_q": "q"}), score, by, buckets)
+
+
+def auc_from_counts(counts: DataFrame, score: str, by: list[str], buckets: int) -> DataFrame:
+    """The area from (by..., score, p positives, q negatives), one row per distinct score."""
+    g = counts.withColumnsRenamed({"p": "_p", "q": "_q"})
     probs = [i / buckets for i in range(1, buckets)]
     q = g.groupBy(*by).agg(F.percentile_approx(score, probs, 10_000).alias("_bounds"))
     if by:
-        gb = g.join(q, by)
+        right = q.withColumnsRenamed({c: f"_g_{c}" for c in by})
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by])
+        gb = g.join(right, same).drop(*[f"_g_{c}" for c in by])
     else:
         gb = g.withColumn("_bounds", q.select("_bounds").scalar())
-    gb = gb.withColumn("_bk", F.size(F.filter("_bounds", lambda x: x < F.col(score)))).drop("_bounds")
+
+    def below(bounds):
+        return F.size(F.filter(bounds, lambda x: x < F.col(score)))
+
+    every = F.filter("_bounds", lambda _, i: i % COARSE == COARSE - 1)
+    gb = gb.withColumn("_coarse", below(every))
+    fine = below(F.slice("_bounds", F.col("_coarse") * COARSE + 1, F.lit(COARSE)))
+    gb = gb.withColumn("_bk", F.col("_coarse") * COARSE + fine).drop("_bounds", "_coarse")
     r = bucketed_running_sum(gb, "_q", score, "_bk", by=by, name="_below")
-    contrib = F.col("_p").cast("double") * (F.col("_below") + F.col("_q") / F.lit(2.0))
+    contrib = F.col("_p").cast("decimal(18,0)") * (2 * F.col("_below") + F.col("_q")).cast("decimal(19,0)")
     agg = r.groupBy(*by).agg(F.sum(contrib).alias("_c"), F.sum("_p").alias("_P"),
                              F.sum("_q").alias("_N"))
     return agg.select(*by, F.when((F.col("_P") > 0) & (F.col("_N") > 0),
-                                  F.col("_c") / (F.col("_P").cast("double") * F.col("_N")))
+                                  F.col("_c").cast("double") / (2.0 * F.col("_P") * F.col("_N")))
                       .alias("auc"))
 
 
@@ -89,15 +107,22 @@ def binary_metrics(pred: DataFrame, score: str = "score", label: str = "label",
     """Total, positives, auc, accuracy, sensitivity, specificity."""
     c = confusion_counts(pred, score, label, by, threshold, mode)
     a = auc_midrank(pred, score, label, by)
-    j = c.join(a, list(by)) if by else c.withColumn("auc", a.select("auc").scalar())
+    if by:
+        right = a.withColumnsRenamed({x: f"_g_{x}" for x in by})
+        same = reduce(lambda x, y: x & y, [F.col(x).eqNullSafe(F.col(f"_g_{x}")) for x in by])
+        j = c.join(right, same)
+    else:
+        j = c.withColumn("auc", a.select("auc").scalar())
     return j.select(*by, "total", "positives", "auc", "accuracy", "sensitivity", "specificity")
 
 
 def attrition_counts(stages: dict[str, DataFrame]) -> DataFrame:
-    """One (stage, n) row per named table, as one union of counts."""
-    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), "n")
-             for name, df in stages.items()]
-    return reduce(DataFrame.unionByName, parts)
+    """One (stage, n) row per named table: one aggregate over the tagged rows
+    (a row with 0 per stage keeps empty ones)."""
+    spark = next(iter(stages.values())).sparkSession
+    rows = [df.select(F.lit(name).alias("stage"), F.lit(1).alias("n")) for name, df in stages.items()]
+    rows.append(spark.createDataFrame([(name, 0) for name in stages], "stage string, n int"))
+    return reduce(DataFrame.unionByName, rows).groupBy("stage").agg(F.sum("n").alias("n"))
 
 
 def best_by_mean(results: DataFrame, params: Sequence[str], metric: str = "auc",

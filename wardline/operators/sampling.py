@@ -1,4 +1,4 @@
-"""Reproducible splits and rebalancing.
+"""Reproducible splits and rebalancing.
 
 Every random choice is a hash of (seed, key), so a re-run - or a task
 re-executed after a lost executor - draws the same rows; no sampled state
@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from wardline.functions.values import hash_uniform
 from wardline.operators.ranking import bucketed_row_number
 
-EXACT_LIMIT = 2000      # X3: exact split for cohorts of at most this size
 RANK_BUCKETS = 4096
 
 
@@ -29,69 +28,53 @@ def _hash_ranked(df: DataFrame, seed: int, key: str, by=()) -> DataFrame:
 
 
 def split_exact(df: DataFrame, p: float = 0.7, seed: int = 42, key: str = "pid",
-                exact: bool | str = True) -> DataFrame:
-    """Exactly floor(n * p) rows get ``is_train`` = 1, the ones with
-    the smallest hash.  ``exact='auto'`` uses this rule only when n <= 2000
-    and the Bernoulli rule of X1 otherwise (decided inside the plan).
+                exact: bool = True) -> DataFrame:
+    """Exactly floor(n * p) rows get ``is_train`` = 1, the ones with the
+    smallest hash; ``exact=False`` is the Bernoulli rule of X1.  The caller
+    picks the rule; it does not change with the size of the table.
 
     The rank is computed per hash bucket, never in one task.
     """
-    if exact is False:
+    if not exact:
         return split_hash(df, p, seed, key)
     r = _hash_ranked(df, seed, key)
-    exact_flag = F.col("_rn") <= F.floor(F.col("_n") * F.lit(float(p)))
-    if exact == "auto":
-        flag = F.when(F.col("_n") <= EXACT_LIMIT, exact_flag).otherwise(F.col("_u") < F.lit(float(p)))
-    else:
-        flag = exact_flag
+    flag = F.col("_rn") <= F.floor(F.col("_n") * F.lit(float(p)))
     return r.withColumn("is_train", flag.cast("int")).drop("_u", "_b", "_rn", "_n")
 
 
-def train_test(df: DataFrame, p: float = 0.7, seed: int = 42, key: str = "pid",
-               exact: bool | str = "auto") -> tuple[DataFrame, DataFrame]:
-    """Split into (train, test); test is the complement (U2 as a filter)."""
-    s = split_exact(df, p, seed, key, exact)
-    return (s.where(F.col("is_train") == 1).drop("is_train"),
-            s.where(F.col("is_train") == 0).drop("is_train"))
-
-
 def subtract_entities(left: DataFrame, right: DataFrame, key: str = "pid") -> DataFrame:
     """Rows of ``left`` whose key is not in ``right`` (every copy removed)."""
     return left.join(right.select(key), key, "left_anti")
 
 
-def label_stats(entities: DataFrame, labels: DataFrame, key: str = "pid") -> DataFrame:
-    """One row (total, positives) over the labelled entities."""
-    lab = entities.select(key).join(labels.select(key, "label"), key)
-    return lab.agg(F.count(F.lit(1)).alias("total"), F.sum("label").cast("long").alias("positives"))
-
-
-def rebalance(train: DataFrame, labels: DataFrame, pos_share: float = 0.3, exact: bool = True,
+def rebalance(train: DataFrame, labels: DataFrame | None = None, pos_share: float = 0.3, exact: bool = True,
               seed: int = 42, key: str = "pid") -> DataFrame:
-    """Keep every positive and enough negatives for a (1-s):s mix.
+    """X4 (A9, J12): keep every positive and enough negatives for a (1-s):s mix.
 
     If the positive share already is >= s, ``train`` is returned as is.
     Otherwise negatives are kept by hash rank (exact: the first
     floor(pos/s*(1-s))) or by a hash threshold (Bernoulli with the same
-    expected count).  The two global counts enter as scalar subqueries, so
-    no join or window spans all rows.
+    expected count).  One pass over the labelled rows; the two global counts
+    enter as one scalar subquery, so no join or window spans all rows.
+    Without ``labels`` the rows carry their own ``label``.
     """
-    lab = train.select(key).join(labels.select(key, "label"), key)
-    # one scalar subquery (evaluated once, reused) holding both counts
-    st = lab.agg(F.struct(F.count(F.lit(1)).alias("t"), F.sum("label").alias("p")).alias("s")).scalar()
+    if labels is None:
+        lab = train.withColumn("_label", F.col("label"))
+    else:
+        lab = train.join(labels.select(key, F.col("label").alias("_label")), key, "left")
+    st = (lab.where("_label is not null")
+          .agg(F.struct(F.count(F.lit(1)).alias("t"), F.sum("_label").alias("p")).alias("s")).scalar())
     total, pos = st["t"], st["p"]
-    share_ok = (pos / total) >= F.lit(float(pos_share))
+    share_ok = F.coalesce((pos / total) >= F.lit(float(pos_share)), F.lit(False))
     want = pos / F.lit(float(pos_share)) * F.lit(1.0 - pos_share)
-    neg = lab.where(F.col("label") == 0)
     if exact:
-        ranked = _hash_ranked(neg, seed, key)
-        kept_neg = ranked.where(F.col("_rn") <= F.floor(want)).select(key)
+        rows = _hash_ranked(lab, seed, key, by=("_label",))
+        chosen = F.col("_rn") <= F.floor(want)
     else:
-        kept_neg = neg.where(hash_uniform(F.col(key), seed) < want / (total - pos)).select(key)
-    kept = lab.where(F.col("label") == 1).select(key).unionByName(kept_neg)
-    balanced = train.join(kept, key, "left_semi")
-    unchanged = train.where(F.coalesce(share_ok, F.lit(False)))
-    return unchanged.unionByName(balanced.where(~F.coalesce(share_ok, F.lit(False))))
+        rows = lab
+        chosen = hash_uniform(F.col(key), seed) < want / (total - pos)
+    keep = share_ok | (F.col("_label") == 1) | ((F.col("_label") == 0) & chosen)
+    return rows.where(keep).select(*train.columns)
 
 
 def kfold(df: DataFrame, k: int = 5, seed: int = 7, key: str = "pid") -> DataFrame:

@@ -19,23 +19,35 @@ def entity_token_counts(tokens: DataFrame, entity: str = "pid", col: str = "toke
     return tokens.groupBy(entity).agg(F.sum(F.size(col)).cast("long").alias("n_tokens"))
 
 
-def vocabulary_counts(tokens: DataFrame, col: str = "tokens") -> DataFrame:
+def _terms(tokens: DataFrame, *keys: str, col: str = "tokens") -> DataFrame:
+    """One row per kept token.
+
+    ``explode_outer`` and a null test instead of ``explode``: under ``explode``
+    the optimizer adds a filter on the array's size, which runs the tokenizer
+    a second time.
+    """
+    return tokens.select(*keys, F.explode_outer(col).alias("term")).where("term is not null")
+
+
+def vocabulary_counts(tokens: DataFrame, col: str = "tokens", stopwords: DataFrame | None = None) -> DataFrame:
     """A4: every term with its total count (explode + partial aggregation;
     a very common term is pre-counted per task before the shuffle)."""
-    return (tokens.select(F.explode(col).alias("term"))
-            .groupBy("term").agg(F.count(F.lit(1)).alias("n")))
+    terms = _terms(tokens, col=col)
+    if stopwords is not None:
+        terms = without_stopwords(terms, stopwords)
+    return (terms.groupBy("term").agg(F.count(F.lit(1)).alias("n")))
 
 
-def document_frequency(tokens: DataFrame, doc: str = "note_id", col: str = "tokens") -> DataFrame:
-    """Number of documents containing each term."""
-    return (tokens.select(doc, F.explode(F.array_distinct(col)).alias("term"))
-            .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+def without_stopwords(terms: DataFrame, words: DataFrame) -> DataFrame:
+    """S11 applied to exploded terms: rows whose ``term`` is in ``words.word`` go
+    (anti join, so the list may have any size)."""
+    return terms.join(words.select(F.col("word").alias("term")), "term", "left_anti")
 
 
 def term_frequency(tokens: DataFrame, doc: str = "note_id", col: str = "tokens",
                    keys: tuple[str, ...] = ()) -> DataFrame:
     """(doc, term, count) long form of the term-count vectors."""
-    return (tokens.select(*keys, doc, F.explode(col).alias("term"))
+    return (_terms(tokens, *keys, doc, col=col)
             .groupBy(*keys, doc, "term").agg(F.count(F.lit(1)).alias("count")))
 
 
@@ -53,6 +65,6 @@ def term_stats(tokens: DataFrame, doc: str = "note_id", col: str = "tokens") ->
     the per-term aggregate, so a term present everywhere is not shuffled
     once per occurrence.
     """
-    per_doc = (tokens.select(doc, F.explode(col).alias("term"))
+    per_doc = (_terms(tokens, doc, col=col)
                .groupBy("term", doc).agg(F.count(F.lit(1)).alias("c")))
     return per_doc.groupBy("term").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("df"))

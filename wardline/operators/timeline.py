@@ -90,6 +90,27 @@ def events_before_hours(events: DataFrame, first: DataFrame, hours: int,
             .where(F.col(ts) < add_hours(F.col("first_ts"), hours)).drop("first_ts"))
 
 
+def entities_at_hours(cohort: DataFrame, first: DataFrame, hours, entity: str = "pid") -> DataFrame:
+    """F5 for several offsets at once: the cohort rows with an ``hours`` column.
+
+    The hour axis is an ``explode`` on the one joined row per entity, so
+    neither the cohort nor the tokenizer below it runs once per hour.
+    """
+    h = F.col("hours")
+    return (cohort.join(first.select(entity, "first_ts"), entity, "left")
+            .withColumn("hours", F.explode(F.array(*[F.lit(int(x)) for x in hours])))
+            .where((h <= 0) | (F.col("first_ts").isNotNull() & still_in_stay(h))).drop("first_ts"))
+
+
+def events_at_hours(events: DataFrame, first: DataFrame, hours, entity: str = "pid",
+                    ts: str = "chart_ts") -> DataFrame:
+    """F8 for several offsets at once: the events with an ``hours`` column."""
+    axis = F.array(*[F.lit(int(x)) for x in hours])
+    keep = F.filter(axis, lambda h: (h <= 0) | F.coalesce(F.col(ts) < add_hours(F.col("first_ts"), h), F.lit(False)))
+    return (events.join(first.select(entity, "first_ts"), entity, "left")
+            .withColumn("hours", F.explode_outer(keep)).where("hours is not null").drop("first_ts"))
+
+
 def filter_on_hours_with_notes(cohort: DataFrame, notes: DataFrame, first: DataFrame,
                                hours: int, entity: str = "pid", ts: str = "chart_ts"):
     """F5 on the cohort; notes of *every* entity with a first note cut at +hours."""

@@ -115,7 +115,7 @@ def run_baseline(train: DataFrame, test: DataFrame, scores: DataFrame, first_not
                  entity: str = "pid") -> Report:
     """SVM on (age, sex, severity); train metrics; 21-point test sweep."""
     feats = long_to_array(baseline_long(train, scores, entity), entity=entity)
-    pts = labelled_points(feats, labels, entity).cache()
+    pts = cut_lineage(labelled_points(feats, labels, entity))
     extra = {}
     if use_cv:
         model, grid = grid_search(pts, BASELINE_GRID, num_folds, entity=entity)
@@ -130,15 +130,15 @@ def run_baseline(train: DataFrame, test: DataFrame, scores: DataFrame, first_not
 
 def run_retrospective_topics(train: DataFrame, test: DataFrame, tokens: DataFrame, labels: DataFrame,
                              k: int = 50, lda_iter: int = 50, max_iter: int = 300, reg_param: float = 0.1,
-                             fit_on: str = "all", optimizer: str = "online", vocab_size: int = 1 << 18,
+                             fit_on: str = "all", optimizer: str = "online", vocab_size: int | None = None,
                              entity: str = "pid") -> Report:
     """LDA over the notes (``fit_on='all'``: train and test notes, as
     the reference; ``'train'``: train notes only), mean topic mixture per
     entity, SVM on train, metrics on train and test."""
     fit_tokens = tokens if fit_on == "all" else tokens.join(train.select(entity), entity, "left_semi")
     tm = fit_topics(fit_tokens, k, lda_iter, vocab_size=vocab_size, optimizer=optimizer)
-    feats = topic_features(tm, tokens, entity)
-    tr = labelled_points(feats.join(train.select(entity), entity, "left_semi"), labels, entity).cache()
+    feats = cut_lineage(topic_features(tm, tokens, entity))      # topic inference runs once
+    tr = labelled_points(feats.join(train.select(entity), entity, "left_semi"), labels, entity)
     te = labelled_points(feats.join(test.select(entity), entity, "left_semi"), labels, entity)
     model = fit_linear_svm(tr, max_iter, reg_param)
     return Report(_pair_row(raw_scores(model, tr, entity), raw_scores(model, te, entity)),
@@ -149,8 +149,9 @@ def run_derived(train: DataFrame, test: DataFrame, labels: DataFrame, cohort: Da
                 scores: DataFrame, flags: DataFrame, use_cv: bool = False, num_folds: int = 5,
                 max_iter: int = 300, reg_param: float = 0.1, entity: str = "pid") -> Report:
     """3 baseline + 30 comorbidity features, SVM, train/test metrics."""
-    feats = combine_features(baseline_array(cohort, scores, entity), comorbidity_features(cohort, flags, entity), entity)
-    tr = labelled_points(feats.join(train.select(entity), entity, "left_semi"), labels, entity).cache()
+    feats = cut_lineage(combine_features(baseline_array(cohort, scores, entity),
+                                         comorbidity_features(cohort, flags, entity), entity))
+    tr = labelled_points(feats.join(train.select(entity), entity, "left_semi"), labels, entity)
     te = labelled_points(feats.join(test.select(entity), entity, "left_semi"), labels, entity)
     extra = {}
     if use_cv:
@@ -164,14 +165,14 @@ def run_derived(train: DataFrame, test: DataFrame, labels: DataFrame, cohort: Da
 def run_time_varying_topics(train: DataFrame, test: DataFrame, labels: DataFrame, first_note: DataFrame,
                             tokens: DataFrame, hours=(12, 240, 12), k: int = 50, lda_iter: int = 50,
                             max_iter: int = 300, reg_param: float = 0.1, optimizer: str = "online",
-                            vocab_size: int = 1 << 18, entity: str = "pid",
+                            vocab_size: int | None = None, entity: str = "pid",
                             parallelism: int = 4) -> Report:
     """For each hour offset, notes before first note + hours -> LDA fit
     on the train notes -> topic features for train and test (the same
     model, so topic i means the same in both) -> SVM -> one report row.
 
     A fit per hour is inherent; the token table they all read is written
-    once to the checkpoint folder so each fit starts from it.
+    once to the shared folder so each fit starts from it.
     """
     toks = cut_lineage(tokens.join(first_note.select(entity, "first_ts"), entity)
                        .select(entity, "chart_ts", "tokens", "first_ts"))
@@ -181,7 +182,7 @@ def run_time_varying_topics(train: DataFrame, test: DataFrame, labels: DataFrame
         cut = events_before_hours(toks.drop("first_ts"), first_note, hr, entity)
         tr_tok = cut.join(train.select(entity), entity, "left_semi")
         tm = fit_topics(tr_tok, k, lda_iter, vocab_size=vocab_size, optimizer=optimizer)
-        feats = topic_features(tm, cut, entity)
+        feats = cut_lineage(topic_features(tm, cut, entity))
         tr = labelled_points(feats.join(train.select(entity), entity, "left_semi"), labels, entity)
         te = labelled_points(feats.join(test.select(entity), entity, "left_semi"), labels, entity)
         model = fit_linear_svm(tr, max_iter, reg_param)
@@ -218,11 +219,11 @@ def prepare(patients: DataFrame, stays: DataFrame, notes: DataFrame, stopwords=N
     -> 7:3 rebalanced training entities.
 
     With ``materialize`` the per-entity table (cohort + first note + label +
-    split flags) and the token table are written once to the checkpoint
+    split flags) and the token table are written once to the shared
     folder: every later model fit reads them instead of re-running the
     cohort / tokenizer plan, and a lost executor re-reads written files.
     """
-    from wardline.operators.cohort import adult_cohort, labels_for
+    from wardline.operators.cohort import LABEL_COLUMNS, adult_cohort, with_death_labels
     from wardline.operators.sampling import rebalance, split_exact
     from wardline.operators.timeline import NoteTimeline, filter_notes, process_notes
 
@@ -232,13 +233,12 @@ def prepare(patients: DataFrame, stays: DataFrame, notes: DataFrame, stopwords=N
     qc = tl.cohort.join(tl.first_note, entity)
     if materialize:
         qc = cut_lineage(qc)
-    base = qc.drop("first_ts")
-    labels = labels_for(base, horizon, entity)
-    s = split_exact(base, train_share, seed, entity, exact="auto")
-    train = s.where("is_train = 1").drop("is_train")
-    bal = rebalance(train, labels, 0.3, True, seed, entity).select(entity).withColumn("is_balanced", F.lit(1))
-    ent = (s.join(labels, entity).join(qc.select(entity, "first_ts"), entity)
-           .join(bal, entity, "left").fillna(0, ["is_balanced"]))
+    # the labels are columns of the cohort row, so nothing is joined back to it
+    wide = with_death_labels(qc).withColumn("label", F.col(LABEL_COLUMNS[horizon])).drop(*LABEL_COLUMNS.values())
+    s = split_exact(wide, train_share, seed, entity)
+    bal = (rebalance(s.where("is_train = 1"), None, 0.3, True, seed, entity).select(entity)
+           .withColumn("is_balanced", F.lit(1)))
+    ent = s.join(bal, entity, "left").fillna(0, ["is_balanced"])
     tokens = tl.tokens
     if materialize:
         ent = cut_lineage(ent)
@@ -256,7 +256,8 @@ def prepare(patients: DataFrame, stays: DataFrame, notes: DataFrame, stopwords=N
 
 def run_all(patients: DataFrame, stays: DataFrame, notes: DataFrame, scores: DataFrame,
             flags: DataFrame, stopwords=None, topics: bool = True, time_varying: bool = True,
-            k: int = 50, lda_iter: int = 50, optimizer: str = "online") -> dict[str, DataFrame]:
+            k: int = 50, lda_iter: int = 50, optimizer: str = "online",
+            hours=(12, 240, 12)) -> dict[str, DataFrame]:
     """The whole run, as report DataFrames keyed by model name.
 
     Reg. parameters: 0.1 everywhere (the reference's 100 with unit-step SGD
@@ -276,5 +277,6 @@ def run_all(patients: DataFrame, stays: DataFrame, notes: DataFrame, scores: Dat
             p.train_balanced, p.test, toks, p.labels, k, lda_iter, optimizer=optimizer).rows
     if time_varying:
         out["time_varying_topics"] = run_time_varying_topics(
-            p.train, p.test, p.labels, tl.first_note, toks, k=k, lda_iter=lda_iter, optimizer=optimizer).rows
+            p.train, p.test, p.labels, tl.first_note, toks, hours=hours, k=k, lda_iter=lda_iter,
+            optimizer=optimizer).rows
     return out

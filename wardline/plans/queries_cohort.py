@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wardline.operators.cohort import adult_cohort, death_labels, latest_interval
+from wardline.operators.cohort import adult_cohort, death_labels, latest_interval, with_death_labels
 from wardline.plans.catalog import add_cte, register
 from wardline.sources.testdata import load_views, stays_view
 
@@ -95,9 +95,7 @@ def q_labels_sentinel(spark, sf_dir):
            CAST(SUM(l.label_1y) AS BIGINT) AS n_1y
     FROM cohort_v c JOIN labels_v l ON c.pid = l.pid""")
 def q_label_summary(spark, sf_dir):
-    c = cohort(spark, sf_dir)
-    lab = death_labels(c)
-    return (c.join(lab, "pid")
+    return (with_death_labels(cohort(spark, sf_dir))
             .agg(F.count(F.lit(1)).alias("n_patients"), F.round(F.sum("age"), 6).alias("sum_age"),
                  F.sum("label_in_stay").alias("n_in_stay"), F.sum("label_30d").alias("n_30d"),
                  F.sum("label_1y").alias("n_1y")))

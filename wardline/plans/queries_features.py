@@ -4,22 +4,20 @@ counts, ROC areas, attrition, grid selection and the hour sweep
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.operators.cohort import adult_cohort, death_labels, labels_for
+from wardline.operators.cohort import adult_cohort, death_labels, labels_for, with_death_labels
 from wardline.operators.features import (
-    baseline_array, baseline_long, baseline_long_at_hours, combine_features,
+    baseline_array, baseline_array_at_hours, baseline_long, combine_features,
     comorbidity_features, labelled_points, mean_vector, pivot_features,
 )
 from wardline.operators.metrics import (
     attrition_counts, auc_midrank, best_by_mean, binary_metrics, confusion_counts,
 )
 from wardline.operators.sampling import kfold, rebalance, split_exact, split_hash
-from wardline.operators.timeline import filter_notes, notes_in_stay
+from wardline.operators.timeline import entities_at_hours, notes_in_stay
 from wardline.plans.catalog import add_cte, register
 from wardline.plans.pipelines import FIXED_WEIGHTS, fixed_linear_score, hour_sweep
 from wardline.plans.queries_text import HOURS, SW, timeline
@@ -76,9 +74,17 @@ def q_feature_array_baseline(spark, sf_dir):
 def q_feature_baseline_at_hours(spark, sf_dir):
     t = load_views(spark, sf_dir)
     _, _, tl = timeline(spark, sf_dir)
-    return reduce(DataFrame.unionByName, [
-        baseline_long_at_hours(tl.cohort, t.scores, tl.first_note, h).withColumn("hours", F.lit(h))
-        for h in HOURS])
+    at = entities_at_hours(tl.cohort, tl.first_note, HOURS).select("pid", "hours")
+    return at.join(baseline_long(tl.cohort, t.scores), "pid").select("hours", "pid", "feature", "value")
+
+
+# M7: the array form at one offset
+@register("feature_array_at_hours", f"""
+    SELECT pid, {POSX} FROM base_arr_v WHERE pid IN (SELECT pid FROM hours_entities_v WHERE hours = 48)""")
+def q_feature_array_at_hours(spark, sf_dir):
+    t = load_views(spark, sf_dir)
+    tl = timeline(spark, sf_dir)[2]
+    return _posexplode(baseline_array_at_hours(tl.cohort, t.scores, tl.first_note, 48), ["pid"])
 
 
 @register("flag_vector", f"SELECT pid, {POSX} FROM flag_feat_v")
@@ -113,7 +119,7 @@ def q_feature_label_points(spark, sf_dir):
 
 
 @register("mean_feature_vector", """
-    SELECT pid, pos, AVG(value) AS value FROM (
+    SELECT pid, pos, ROUND(AVG(value), 9) AS value FROM (
       SELECT n.pid, UNNEST(generate_series(0, 2)) AS pos,
              UNNEST([len(n.tokens) * 1.0, CAST(hour(n.chart_ts) AS DOUBLE), CAST(n.note_id % 7 AS DOUBLE)]) AS value
       FROM tokens_v n) GROUP BY pid, pos""")
@@ -121,7 +127,8 @@ def q_mean_feature_vector(spark, sf_dir):
     toks = timeline(spark, sf_dir)[2].tokens
     rows = toks.select("pid", F.array(F.size("tokens").cast("double"), F.hour("chart_ts").cast("double"),
                                       (F.col("note_id") % 7).cast("double")).alias("features"))
-    return _posexplode(mean_vector(rows), ["pid"])
+    # the mean of doubles depends on summation order in the last bits: round
+    return _posexplode(mean_vector(rows), ["pid"]).withColumn("value", F.round("value", 9))
 
 
 # --- splits and rebalancing -------------------------------------------------
@@ -141,11 +148,6 @@ def q_split_exact(spark, sf_dir):
     return split_exact(_base(spark, sf_dir)[1], 0.7, 42, exact=True).select("pid", "is_train")
 
 
-@register("split_auto", "SELECT pid, is_train FROM split_v")
-def q_split_auto(spark, sf_dir):
-    return split_exact(_base(spark, sf_dir)[1], 0.7, 42, exact="auto").select("pid", "is_train")
-
-
 def _rebalance_sql(exact: bool) -> str:
     h = HASH.format(seed=42, key="pid")
     if exact:
@@ -164,10 +166,9 @@ def _rebalance_sql(exact: bool) -> str:
 
 
 def _rebalanced(spark, sf_dir, exact):
-    c = _base(spark, sf_dir)[1]
-    train = split_exact(c, 0.7, 42).where("is_train = 1").drop("is_train")
-    labels = labels_for(c, "in_stay")
-    return rebalance(train, labels, 0.3, exact=exact, seed=42).select("pid").join(labels, "pid")
+    c = with_death_labels(_base(spark, sf_dir)[1]).select("pid", F.col("label_in_stay").alias("label"))
+    train = split_exact(c, 0.7, 42).where("is_train = 1").select("pid", "label")
+    return rebalance(train, None, 0.3, exact=exact, seed=42)
 
 
 @register("subsample_7_3", _rebalance_sql(True))

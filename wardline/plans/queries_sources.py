@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from wardline.plans.catalog import REGISTRY, register
 from wardline.session import scratch_path
 from wardline.sources import loaders
+from wardline.sources.loaders import SCORE_COMPONENTS
 from wardline.sources.csv import (
     load_csv_as_table, normalize_note_text, normalize_quoted_field, read_csv_strings,
-    table_name_column, write_single_file,
+    table_name_column, write_report,
 )
 from wardline.sources.testdata import FLAG_NAMES, load_views, read_table
 
@@ -86,7 +87,9 @@ def _raw_stays(spark, sf_dir):
 
 @register("load_scores", """
     SELECT CAST(pid AS VARCHAR) AS pid, CAST(hadm_id AS VARCHAR) AS hadm_id, CAST(stay_id AS VARCHAR) AS stay_id,
-           score, CASE WHEN hadm_id % 5 = 0 THEN 0.0 ELSE score_prob END AS score_prob FROM scores_v""")
+           score, CASE WHEN hadm_id % 5 = 0 THEN 0.0 ELSE score_prob END AS score_prob, """ + ", ".join(
+    f"CASE WHEN (hadm_id + {i}) % 4 = 0 THEN 0.0 ELSE CAST((hadm_id * {i + 3}) % 27 AS DOUBLE) END AS {c}"
+    for i, c in enumerate(SCORE_COMPONENTS)) + " FROM scores_v")
 def q_load_scores(spark, sf_dir):
     return loaders.scores(read_csv_strings(spark, stage_csv(spark, _raw_scores(spark, sf_dir), "SAPSII.csv")))
 
@@ -97,7 +100,10 @@ def _raw_scores(spark, sf_dir):
                    F.col("stay_id").cast("string").alias("icustay_id"), F.col("score").cast("string").alias("sapsii"),
                    # every 5th probability cell is left empty: loads as 0.0
                    F.when(F.col("hadm_id") % 5 == 0, F.lit(None))
-                    .otherwise(F.col("score_prob").cast("string")).alias("sapsii_prob"))
+                    .otherwise(F.col("score_prob").cast("string")).alias("sapsii_prob"),
+                   # component scores from the key, some cells empty
+                   *[F.when((F.col("hadm_id") + i) % 4 != 0, ((F.col("hadm_id") * (i + 3)) % 27).cast("string")).alias(c)
+                     for i, c in enumerate(SCORE_COMPONENTS)])
 
 
 @register("load_flags", """
@@ -122,7 +128,7 @@ def _raw_flags(spark, sf_dir):
            category, md5(text) AS text_md5
     FROM notes_v WHERE NOT contains(lower(category), 'discharge') AND hadm_id IS NOT NULL""")
 def q_load_notes(spark, sf_dir):
-    loaded = loaders.notes(read_csv_strings(spark, stage_csv(spark, _raw_notes(spark, sf_dir), "NOTEEVENTS.csv")))
+    loaded = loaders.notes(read_csv_strings(spark, stage_csv(spark, _raw_notes(spark, sf_dir), "NOTEEVENTS.csv"), True))
     return loaded.select("note_id", "pid", "hadm_id", "chart_ts", "category", F.md5("text").alias("text_md5"))
 
 
@@ -158,7 +164,7 @@ def q_csv_style_clean(spark, sf_dir):
       FROM cohort_v c JOIN labels_v l ON c.pid = l.pid)""")
 def q_single_file_sink(spark, sf_dir):
     report = REGISTRY["label_summary"][0](spark, sf_dir).drop("sum_age")
-    path = write_single_file(report, scratch_path(spark, "report"))
+    path = write_report(report, scratch_path(spark, "report"))
     return read_csv_strings(spark, path)
 
 

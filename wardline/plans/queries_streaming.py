@@ -20,7 +20,7 @@ from wardline.streaming.notes import latest_note_stats, start_note_stats
 def q_stream_note_stats(spark, sf_dir):
     notes = notes_view(spark, sf_dir)
     src = scratch_path(spark, "note-files")
-    notes.repartition(4).write.parquet(src)          # 4 files -> 4 micro-batches
+    notes.write.parquet(src)
     name = f"note_stats_{uuid.uuid4().hex[:8]}"
     out = scratch_path(spark, "note-stats")
     q = start_note_stats(spark, src, notes.schema, name, SW, output_dir=out)

@@ -3,23 +3,21 @@ vocabulary and term frequency (F1-F8, J3-J6, P13-P18, A2-A5, M2)."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions.text import BASIC_STOPWORDS
 from wardline.operators.text import (
-    entity_token_counts, lower_split_size, term_frequency, term_stats,
+    lower_split_size, term_frequency, term_stats,
     tokenize_notes, vocabulary_counts,
 )
 from wardline.operators.timeline import (
-    events_before_hours, filter_all_on_hours, filter_notes, filter_on_hours,
-    filter_on_hours_with_notes, first_event, notes_in_stay, process_notes,
+    entities_at_hours, events_at_hours, filter_notes, first_event, notes_in_stay, process_notes,
 )
 from wardline.plans.catalog import add_cte, register
 from wardline.plans.oracle_text import tokens_sql
 from wardline.plans.queries_cohort import cohort
+from wardline.session import scratch_path
+from wardline.sources.csv import read_stopwords
 from wardline.sources.testdata import (
     conversation_notes_view, load_views, notes_view, read_table,
 )
@@ -61,10 +59,6 @@ def timeline(spark, sf_dir, materialize=True):
     return c, filter_notes(t.notes), process_notes(c, filter_notes(t.notes), SW, materialize=materialize)
 
 
-def _union_hours(make) -> DataFrame:
-    return reduce(DataFrame.unionByName, [make(h).withColumn("hours", F.lit(h)) for h in HOURS])
-
-
 @register("notes_filtered", """
     SELECT note_id, pid, hadm_id, chart_ts, category FROM notes_f_v""")
 def q_notes_filtered(spark, sf_dir):
@@ -135,26 +129,40 @@ add_cte("hours_entities_v", """
 @register("filter_hours_entities", "SELECT hours, pid FROM hours_entities_v")
 def q_filter_hours_entities(spark, sf_dir):
     tl = timeline(spark, sf_dir)[2]
-    return _union_hours(lambda h: filter_on_hours(tl.cohort, tl.first_note, h).select("pid"))
+    return entities_at_hours(tl.cohort, tl.first_note, HOURS).select("hours", "pid")
+
+
+HALVES = """
+    SELECT hours, 'entity' AS half, pid AS id FROM hours_entities_v
+    UNION ALL """
 
 
-@register("filter_hours_with_notes", """
-    SELECT h.hours, n.note_id FROM hours_v h, notes_q_v n LEFT JOIN first_note_v f ON n.pid = f.pid
+@register("filter_hours_with_notes", HALVES + """
+    SELECT h.hours, 'note', n.note_id FROM hours_v h, notes_q_v n LEFT JOIN first_note_v f ON n.pid = f.pid
     WHERE h.hours <= 0 OR n.chart_ts < f.first_ts + INTERVAL 1 HOUR * h.hours""")
 def q_filter_hours_with_notes(spark, sf_dir):
     tl = timeline(spark, sf_dir)[2]
-    return _union_hours(lambda h: filter_on_hours_with_notes(
-        tl.cohort, tl.notes, tl.first_note, h)[1].select("note_id"))
+    notes = events_at_hours(tl.notes.select("note_id", "pid", "chart_ts"), tl.first_note, HOURS)
+    return _halves(entities_at_hours(tl.cohort, tl.first_note, HOURS), notes)
 
 
-@register("filter_hours_all", """
-    SELECT h.hours, n.note_id FROM hours_v h, notes_q_v n LEFT JOIN first_note_v f ON n.pid = f.pid
+def _halves(entities, notes):
+    """Both outputs of F6 / F7: the entities and the notes kept at each offset."""
+    return (entities.select("hours", F.lit("entity").alias("half"), F.col("pid").alias("id"))
+            .unionByName(notes.select("hours", F.lit("note").alias("half"), F.col("note_id").alias("id"))))
+
+
+@register("filter_hours_all", HALVES + """
+    SELECT h.hours, 'note', n.note_id FROM hours_v h, notes_q_v n LEFT JOIN first_note_v f ON n.pid = f.pid
     WHERE h.hours <= 0 OR (n.chart_ts < f.first_ts + INTERVAL 1 HOUR * h.hours
           AND n.pid IN (SELECT pid FROM hours_entities_v e WHERE e.hours = h.hours))""")
 def q_filter_hours_all(spark, sf_dir):
     tl = timeline(spark, sf_dir)[2]
-    return _union_hours(lambda h: filter_all_on_hours(
-        tl.cohort, tl.notes, tl.first_note, h)[1].select("note_id"))
+    entities = entities_at_hours(tl.cohort, tl.first_note, HOURS)
+    notes = events_at_hours(tl.notes.select("note_id", "pid", "chart_ts"), tl.first_note, HOURS)
+    kept = notes.where("hours <= 0").unionByName(
+        notes.where("hours > 0").join(entities.select("hours", "pid"), ["hours", "pid"], "left_semi").select(notes.columns))
+    return _halves(entities, kept)
 
 
 @register("filter_hours_tokens", """
@@ -163,8 +171,8 @@ def q_filter_hours_all(spark, sf_dir):
     WHERE h.hours <= 0 OR t.chart_ts < f.first_ts + INTERVAL 1 HOUR * h.hours""")
 def q_filter_hours_tokens(spark, sf_dir):
     tl = timeline(spark, sf_dir)[2]
-    return _union_hours(lambda h: events_before_hours(tl.tokens, tl.first_note, h)
-                        .select("note_id", F.size("tokens").alias("n_tokens")))
+    sizes = tl.tokens.select("note_id", "pid", "chart_ts", F.size("tokens").alias("n_tokens"))
+    return events_at_hours(sizes, tl.first_note, HOURS).select("hours", "note_id", "n_tokens")
 
 
 @register("vocabulary_counts", "SELECT term, COUNT(*) AS n FROM (SELECT UNNEST(tokens) AS term FROM tokens_v) GROUP BY term")
@@ -193,8 +201,20 @@ def q_doc_term_freq(spark, sf_dir):
     FROM conv_notes_v GROUP BY pid""")
 def q_conversation_token_counts(spark, sf_dir):
     t = tokenize_notes(conversation_notes_view(spark, sf_dir))
-    return (entity_token_counts(t).join(
-        t.groupBy("pid").agg(F.count(F.lit(1)).alias("n_turns")), "pid"))
+    return t.groupBy("pid").agg(F.sum(F.size("tokens")).cast("long").alias("n_tokens"), F.count(F.lit(1)).alias("n_turns"))
+
+
+# A stop list of any size (here: every token of the benchmark), as a text source and an anti join
+@register("stopword_source", f"""
+    WITH stop AS (SELECT DISTINCT UNNEST({tokens_sql('text')}) AS word FROM benchmark)
+    SELECT term, COUNT(*) AS n FROM (SELECT UNNEST({tokens_sql('text')}) AS term FROM documents)
+    WHERE term NOT IN (SELECT word FROM stop) GROUP BY term""")
+def q_stopword_source(spark, sf_dir):
+    listed = tokenize_notes(read_table(spark, sf_dir, "benchmark").select("text"))
+    path = scratch_path(spark, "stopwords")
+    listed.select(F.explode_outer("tokens").alias("value")).where("value is not null").write.text(path)
+    docs = tokenize_notes(read_table(spark, sf_dir, "documents").select("text"))
+    return vocabulary_counts(docs, stopwords=read_stopwords(spark, path))
 
 
 # event timeline: events within h hours of each user's first event
@@ -205,6 +225,4 @@ def q_conversation_token_counts(spark, sf_dir):
 def q_events_within_hours(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
     first = first_event(ev, entity="user_id", ts="ts")
-    return reduce(DataFrame.unionByName, [
-        events_before_hours(ev, first, h, entity="user_id", ts="ts").select(
-            F.lit(h).alias("hours"), "event_id") for h in (12, 120, 240)])
+    return events_at_hours(ev, first, (12, 120, 240), entity="user_id", ts="ts").select("hours", "event_id")

@@ -8,13 +8,13 @@ cells are treated alike downstream (``blank_to_null``).
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # fixed value: table-name rule, last word of the path, optional ".csv"
 TABLE_NAME_PATTERN = r"(\w+)(\.csv)?$"
-MAX_STOPWORDS = 100_000   # a stop list is turned into an INSET literal
 
 
 def infer_table_name(path: str) -> str:
@@ -29,9 +29,18 @@ def table_name_column(path: Column) -> Column:
     return F.when(name == "", path).otherwise(name)
 
 
-def read_csv_strings(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Header CSV, all columns STRING."""
-    return (spark.read.option("header", True).option("escape", '"')
+def read_csv_strings(spark: SparkSession, path: str, multiline: bool = False,
+                     columns: Sequence[str] | None = None) -> DataFrame:
+    """Header CSV, all columns STRING.
+
+    ``multiline`` allows line breaks in quoted fields, at the price of one task
+    per file; without it a file is split like any text.  ``columns`` (in file
+    order) spares the job that reads the header.
+    """
+    reader = spark.read
+    if columns is not None:
+        reader = reader.schema(", ".join(f"`{c}` string" for c in columns))
+    return (reader.option("header", True).option("escape", '"')
             .option("multiLine", multiline).option("inferSchema", False).csv(path))
 
 
@@ -42,21 +51,9 @@ def load_csv_as_table(spark: SparkSession, path: str, table_name: str | None = N
     return df
 
 
-MAX_SINGLE_FILE_ROWS = 1_000_000
-
-
-def write_single_file(df: DataFrame, path: str, header: bool = True,
-                      max_rows: int = MAX_SINGLE_FILE_ROWS) -> str:
-    """A *bounded* report table as one CSV part file in ``path``.
-
-    Only for small result tables (metric rows, sweeps): ``coalesce(1)``
-    funnels the rows through one writer task.  Large tables are written
-    with the normal parallel writer.
-    """
-    n = df.count()
-    if n > max_rows:
-        raise ValueError(f"{n} rows is not a report table; write it with the parallel writer")
-    df.coalesce(1).write.mode("overwrite").option("header", header).csv(path)
+def write_report(df: DataFrame, path: str, header: bool = True) -> str:
+    """A report table as header CSV in ``path`` (parallel writer)."""
+    df.write.mode("overwrite").option("header", header).csv(path)
     return path
 
 
@@ -67,14 +64,11 @@ def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stopword_list(words: DataFrame) -> list[str]:
-    """The stop list as a plain list for the tokenizer's INSET test.
+    """A short stop list as a plain list for the tokenizer's INSET test.
 
-    A stop list is a small, bounded vocabulary; its size is checked before
-    it is brought to the driver.
+    For lists of any size keep the DataFrame and use
+    ``operators.text.without_stopwords`` (an anti join).
     """
-    n = words.count()
-    if n > MAX_STOPWORDS:
-        raise ValueError(f"stop list has {n} words (> {MAX_STOPWORDS}); filter tokens with a join instead")
     return [r.word for r in words.collect()]
 
 

@@ -22,6 +22,7 @@ from wardline.functions.values import (
 )
 from wardline.operators.timeline import filter_notes
 from wardline.sources.csv import read_csv_strings
+from wardline.session import stored
 from wardline.sources.testdata import FLAG_NAMES
 
 # fixed values: component score columns of the severity table, in order
@@ -64,15 +65,14 @@ def stays(df: DataFrame) -> DataFrame:
 
 
 def scores(df: DataFrame) -> DataFrame:
-    """3 keys + 17 doubles, missing -> 0.0."""
+    """3 keys + 17 doubles, missing cell -> 0.0 (a missing column is an error)."""
     return df.select(
         blank_to_null(_c(df, "subject_id")).alias("pid"),
         blank_to_null(_c(df, "hadm_id")).alias("hadm_id"),
         blank_to_null(_c(df, "icustay_id")).alias("stay_id"),
         to_double_or_zero(_c(df, "sapsii")).alias("score"),
         to_double_or_zero(_c(df, "sapsii_prob")).alias("score_prob"),
-        *[to_double_or_zero(_c(df, n)).alias(n) for n in SCORE_COMPONENTS if n in
-          {c.lower() for c in df.columns}])
+        *[to_double_or_zero(_c(df, n)).alias(n) for n in SCORE_COMPONENTS])
 
 
 def flags(df: DataFrame) -> DataFrame:
@@ -89,7 +89,7 @@ def notes(df: DataFrame) -> DataFrame:
     when = F.coalesce(*[blank_to_null(_c(df, n)) for n in ("CHARTTIME", "STORETIME", "CHARTDATE")
                         if n.lower() in cols])
     key = (blank_to_null(_c(df, "ROW_ID")) if "row_id" in cols else
-           F.xxhash64(_c(df, "SUBJECT_ID"), _c(df, "HADM_ID"), _c(df, "CHARTDATE"), _c(df, "TEXT")).cast("string"))
+           F.xxhash64(*[_c(df, n) for n in df.columns]).cast("string"))   # all columns: equal rows only share it
     out = df.select(
         key.alias("note_id"),
         blank_to_null(_c(df, "SUBJECT_ID")).alias("pid"),
@@ -115,36 +115,40 @@ FILES = {"patients": "PATIENTS.csv", "notes": "NOTEEVENTS.csv", "flags": "EHCOMO
 
 
 def load_all(spark: SparkSession, data_dir: str, files: dict | None = None) -> RawTables:
-    """The five tables as lazy typed DataFrames."""
+    """The five tables as typed DataFrames, staged once as Parquet in the
+    shared folder (later plans prune columns and split scans)."""
     f = dict(FILES, **(files or {}))
     base = data_dir.rstrip("/")
 
-    def rd(name):
-        return read_csv_strings(spark, f"{base}/{f[name]}")
+    def rd(name, typed):
+        # only notes hold line breaks inside their fields
+        return stored(typed(read_csv_strings(spark, f"{base}/{f[name]}", multiline=name == "notes")), name)
 
-    return RawTables(patients=patients(rd("patients")), notes=notes(rd("notes")),
-                     flags=flags(rd("flags")), stays=stays(rd("stays")), scores=scores(rd("scores")))
+    return RawTables(patients=rd("patients", patients), notes=rd("notes", notes), flags=rd("flags", flags),
+                     stays=rd("stays", stays), scores=rd("scores", scores))
 
 
 def quality_report(t: RawTables) -> DataFrame:
     """Q25/Q26: rows whose timestamps did not parse and duplicated keys."""
     from functools import reduce
 
-    def n(df, cond, name):
-        return df.agg(F.sum(cond.cast("long")).alias("n")).select(F.lit(name).alias("check"),
-                                                                  F.coalesce("n", F.lit(0)).alias("n"))
+    def count(name, cond):
+        return F.count(F.when(cond, 1)).alias(name)
 
-    def dups(df, keys, name):
-        d = df.groupBy(*keys).count().where("count > 1")
-        return d.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("check"), "n")
+    def by_key(df, keys, *others):
+        """One aggregate per key, one over the keys: duplicates and the sums of ``others``."""
+        per = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *others)
+        names = [c for c in per.columns if c not in keys and c != "_n"]
+        return per, names
 
+    pats, bad = by_key(t.patients, ["pid"], count("patients_bad_dob", F.col("dob").isNull()))
     parts = [
-        n(t.patients, F.col("dob").isNull(), "patients_bad_dob"),
-        n(t.stays, F.col("in_ts").isNull(), "stays_missing_in"),
-        n(t.stays, F.col("out_ts").isNull(), "stays_missing_out"),
-        n(t.notes, F.col("chart_ts").isNull(), "notes_bad_time"),
-        dups(t.patients, ["pid"], "patients_duplicate_pid"),
-        dups(t.scores, ["pid", "hadm_id", "stay_id"], "scores_duplicate_key"),
-        dups(t.flags, ["pid", "hadm_id"], "flags_duplicate_key"),
+        pats.agg(*[F.sum(c).alias(c) for c in bad], count("patients_duplicate_pid", F.col("_n") > 1)),
+        t.stays.agg(count("stays_missing_in", F.col("in_ts").isNull()), count("stays_missing_out", F.col("out_ts").isNull())),
+        t.notes.agg(count("notes_bad_time", F.col("chart_ts").isNull())),
+        by_key(t.scores, ["pid", "hadm_id", "stay_id"])[0].agg(count("scores_duplicate_key", F.col("_n") > 1)),
+        by_key(t.flags, ["pid", "hadm_id"])[0].agg(count("flags_duplicate_key", F.col("_n") > 1)),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    long = [p.select(F.explode(F.array(*[F.struct(F.lit(c).alias("check"), F.coalesce(c, F.lit(0)).alias("n"))
+                                         for c in p.columns])).alias("r")).select("r.*") for p in parts]
+    return reduce(DataFrame.unionByName, long)

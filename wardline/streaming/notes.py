@@ -29,7 +29,7 @@ def note_stats(notes: DataFrame, stopwords=None, entity: str = "pid", ts: str =
 
 
 def start_note_stats(spark: SparkSession, source_dir: str, schema, query_name: str,
-                     stopwords=None, files_per_trigger: int = 1,
+                     stopwords=None, files_per_trigger: int | None = None,
                      checkpoint_location: str | None = None,
                      output_dir: str | None = None) -> StreamingQuery:
     """Stream parquet note files from ``source_dir``.
@@ -40,8 +40,10 @@ def start_note_stats(spark: SparkSession, source_dir: str, schema, query_name: s
     results go to an in-memory table ``query_name`` on the driver, which is
     only for small tests.
     """
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-              .parquet(source_dir))
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    stream = reader.parquet(source_dir)
     loc = checkpoint_location or scratch_path(spark, f"stream-{query_name}")
     stats = note_stats(stream, stopwords)
     if output_dir is None:
