@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wardline.functions.text import BASIC_STOPWORDS
+from wardline.operators.ranking import bucketed_row_number
 from wardline.operators.text import (
     lower_split_size, term_frequency, term_stats,
     tokenize_notes, vocabulary_counts,
@@ -195,6 +196,15 @@ def q_doc_term_freq(spark, sf_dir):
     return term_frequency(timeline(spark, sf_dir, materialize=False)[2].tokens)
 
 
+# A dense 0-based index of the notes in id order
+@register("doc_index", """
+    SELECT note_id, ROW_NUMBER() OVER (ORDER BY note_id) - 1 AS doc_index FROM notes_f_v""")
+def q_doc_index(spark, sf_dir):
+    notes = _notes(spark, sf_dir).select("note_id").withColumn("_b", F.floor(F.col("note_id") / 4096))
+    ranked = bucketed_row_number(notes, ["note_id"], "_b", name="_rn")
+    return ranked.select("note_id", (F.col("_rn") - 1).alias("doc_index"))
+
+
 # second text source: conversations (entity = conversation, turn = 6 hours)
 @register("conversation_token_counts", f"""
     SELECT pid, CAST(SUM(len({tokens_sql('text')})) AS BIGINT) AS n_tokens, COUNT(*) AS n_turns

@@ -13,6 +13,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+FILES_PER_CORE = 4       # of a stored table, at most (or an eighth of the shuffle partitions)
+
 # application id -> shared folder of that application
 _FOLDERS: dict[str, str] = {}
 
@@ -82,9 +84,13 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     Cuts the lineage: later plans prune columns and push filters into the
     written table, and a lost executor costs a re-read, not a recomputation.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    # a few files per core: shuffles may have far more partitions than a small table needs
+    files = max(FILES_PER_CORE * spark.sparkContext.defaultParallelism,
+                int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+    df.coalesce(files).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
