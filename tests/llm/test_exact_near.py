@@ -88,7 +88,7 @@ def near_rows(seed, families=14, copies=12):
     return rows
 
 
-@pytest.mark.parametrize("seed", [3, 4])
+@pytest.mark.parametrize("seed", [3])
 def test_near_against_brute_force(make_docs, seed):
     rows = near_rows(seed)
     want = brute_near(rows)
