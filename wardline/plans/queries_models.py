@@ -186,13 +186,13 @@ def q_report_time_varying_counts(spark, sf_dir):
                                    lda_iter=1).rows.select("hr", *PAIR)
 
 
-# The whole run; every report's deterministic columns in one table
+# The whole run; every report's deterministic columns in one table (-1 where a report has none)
 @register("run_all_counts", f"""
-    SELECT 'baseline_train' AS report, NULL AS hr, total, positives AS pos, NULL AS test_total, NULL AS test_pos
+    SELECT 'baseline_train' AS report, -1 AS hr, total, positives AS pos, -1 AS test_total, -1 AS test_pos
     FROM ({BASELINE_TRAIN_SQL})
-    UNION ALL SELECT 'baseline_sweep', hr, total, positives, NULL, NULL FROM ({SWEEP_SQL})
-    UNION ALL SELECT 'derived', NULL, total, pos, test_total, test_pos FROM ({DERIVED_SQL})
-    UNION ALL SELECT 'retrospective_topics', NULL, total, pos, test_total, test_pos FROM ({RETRO_SQL})
+    UNION ALL SELECT 'baseline_sweep', hr, total, positives, -1, -1 FROM ({SWEEP_SQL})
+    UNION ALL SELECT 'derived', -1, total, pos, test_total, test_pos FROM ({DERIVED_SQL})
+    UNION ALL SELECT 'retrospective_topics', -1, total, pos, test_total, test_pos FROM ({RETRO_SQL})
     UNION ALL SELECT 'time_varying_topics', hr, total, pos, test_total, test_pos
     FROM ({_varying_sql(range(12, 133, 60))})""")
 def q_run_all_counts(spark, sf_dir):
@@ -202,7 +202,7 @@ def q_run_all_counts(spark, sf_dir):
     for name, rows in reports.items():
         have = {"pos": next((c for c in ("pos", "positives", "num_positives") if c in rows.columns))}
         part = rows.select(F.lit(name).alias("report"), *[
-            (F.col(have.get(c, c)) if have.get(c, c) in rows.columns else F.lit(None)).cast("long").alias(c)
+            (F.col(have.get(c, c)) if have.get(c, c) in rows.columns else F.lit(-1)).cast("long").alias(c)
             for c in ("hr", *PAIR)])
         out = part if out is None else out.unionByName(part)
     return out
