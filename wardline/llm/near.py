@@ -186,7 +186,8 @@ def components(links: DataFrame, start: DataFrame | None = None) -> DataFrame:
     while True:
         # large star: every node's larger neighbours go to its smallest neighbour (or itself)
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        # the smallest neighbours are written, so that the join can split a node with very many edges
+        least = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         large = (both.join(least.hint("merge"), "a").where("b > a").select(F.col("m").alias("a"), "b").where("a < b").distinct())
         # small star: every node and its smaller neighbours go to the smallest of them
         least = large.groupBy("b").agg(F.min("a").alias("m"))
@@ -203,8 +204,8 @@ def components(links: DataFrame, start: DataFrame | None = None) -> DataFrame:
 def _confirmed(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, percent: int, miss: float) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the threshold."""
     sa, sb = (sigs.select(F.col("id").alias(x), F.col("sig").alias(f"s{x}")) for x in "ab")
-    alive = stored(pairs.join(sb.hint("merge"), "b").join(sa.hint("merge"), "a").select("a", "b", "sa", "sb")
-                   .mapInArrow(_pruner(percent / 100, miss), "a long, b long"), "survivors")
+    alive = (pairs.join(sb.hint("merge"), "b").join(sa.hint("merge"), "a").select("a", "b", "sa", "sb")
+             .mapInArrow(_pruner(percent / 100, miss), "a long, b long"))
     ta, tb = (texts.select(F.col("id").alias(x), F.col("text").alias(f"t{x}")) for x in "ab")
     full = alive.join(tb.hint("merge"), "b").join(ta.hint("merge"), "a").select("a", "b", "ta", "tb")
     return full.mapInArrow(_verifier(percent), "a long, b long")
@@ -314,15 +315,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = classes.select(F.col("cid").alias("id"), F.col("cid").alias("root")).limit(0)
     open_ = members.withColumn("comp", F.col("id"))
     for round_no in range(STAR_ROUNDS):
-        links = stored(_confirmed(_star_pairs(open_, round_no), sigs, texts, percent, miss), "links")
-        roots = stored(components(links, roots), "roots")
+        roots = components(_confirmed(_star_pairs(open_, round_no), sigs, texts, percent, miss), roots)
         open_ = _unresolved(members, roots)
     large = open_.where(F.col("size") > fine)
     comps = stored(large.select("id", "comp").distinct(), "large")
     pairs = (_bucket_pairs(open_.where(F.col("size") <= fine))
              .unionByName(_rare_pairs(stored(texts.join(comps.select("id").hint("merge"), "id"), "texts"), comps, percent)))
-    links = stored(_confirmed(stored(pairs.distinct(), "pairs"), sigs, texts, percent, miss), "links")
-    roots = stored(components(links, roots), "roots")
+    roots = components(_confirmed(pairs.distinct(), sigs, texts, percent, miss), roots)
 
     return (membership.join(roots.select(F.col("id").alias("cid"), "root").hint("merge"), "cid", "left")
             .select("id", "n", F.coalesce("root", "cid", "id").alias("component_id"))
