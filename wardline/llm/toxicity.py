@@ -48,7 +48,8 @@ LEAST = 0.5
 FEATURES = 50_000
 HEADS = (4, 5, 6)
 MAX_DECODED = 64          # a longer word is taken as it is (keys, addresses)
-CACHED = 300_000
+CACHED = 600_000          # words a worker holds
+HELD = 1_000_000          # features a training task gathers before it passes them on
 TRIGRAM = 2               # context length the decoder uses
 
 # what a character may stand for besides itself
@@ -116,83 +117,118 @@ def _strip(word: str) -> str:
     return _OUTER.sub("", word)
 
 
-def document_words(column: pa.Array, decoder: Decoder, known: dict[str, str]):
-    """For every document of a binary column the set of its restored words."""
+def block_words(column: pa.Array, decoder: Decoder, known: dict, entry):
+    """(block, code of every word, entry of every code, {document: words of its spaced-out runs}) per block.
+
+    ``entry`` maps a restored word to what is kept of it; entries are held by the word's hash.
+    """
     for b in K.blocks(column):
-        hashes = b.word_hash(K.BYTE_LOWER)
-        kinds, first, code = np.unique(hashes, return_index=True, return_inverse=True)
-        raw = b.data.tobytes()
-        words = []
-        for s, e in zip(b.starts[first].tolist(), b.ends[first].tolist()):
-            word = raw[s:e].decode("utf-8", "replace").lower()
-            if word.isalpha() and not (len(word) > 2 and _DISGUISED.search(word)):
-                words.append(word)
-                continue
-            if word not in known:
-                if len(known) > CACHED:
-                    known.clear()
-                core = word.strip(".,;:?\"'")
-                known[word] = _strip(decoder.decode(core) if looks_disguised(core) else core)
-            words.append(known[word])
+        kinds, first, code = np.unique(b.word_hash(K.BYTE_LOWER), return_index=True, return_inverse=True)
+        if len(known) > CACHED:
+            known.clear()
+        raw, get, entries = b.data.tobytes(), known.get, []
+        starts, ends = b.starts[first].tolist(), b.ends[first].tolist()
+        for i, h in enumerate(kinds.tolist()):
+            found = get(h, known)                       # the dict itself stands for "not there"
+            if found is known:
+                found = known[h] = entry(restore(raw[starts[i]: ends[i]].decode("utf-8", "replace"), decoder))
+            entries.append(found)
         # runs of single-character words
         width = b.ends - b.starts
-        single = (width == 1) | ((width == 2) & (b.data[b.starts] >= 0xC0) if len(width) else width == 1)
+        single = (width == 1) | (width == 2) & (b.data[b.starts] >= 0xC0) if len(width) else width == 1
         runs: dict[int, list[str]] = {}
         change = np.flatnonzero(np.diff(np.concatenate(([0], single.astype(np.int8), [0]))))
-        for lo, hi in zip(change[::2].tolist(), change[1::2].tolist()):
+        long = change[1::2] - change[::2] >= 3
+        for lo, hi in zip(change[::2][long].tolist(), change[1::2][long].tolist()):
             for doc in np.unique(b.doc[lo:hi]).tolist():
-                a, z = max(lo, int(b.first[doc])), min(hi, int(b.first[doc + 1]))
-                if z - a >= 3:
-                    run = "".join(raw[b.starts[i]: b.ends[i]].decode("utf-8", "replace").lower() for i in range(a, z))
+                x, z = max(lo, int(b.first[doc])), min(hi, int(b.first[doc + 1]))
+                if z - x >= 3:
+                    run = "".join(raw[b.starts[i]: b.ends[i]].decode("utf-8", "replace").lower() for i in range(x, z))
                     for at in range(0, len(run), MAX_DECODED):
                         runs.setdefault(doc, []).append(decoder.decode(run[at: at + MAX_DECODED]))
-        for doc in range(len(b.bounds) - 1):
-            used = np.unique(code[b.first[doc]: b.first[doc + 1]])
-            found = {words[i] for i in used.tolist()}
-            found.update(runs.get(doc, ()))
-            found.discard("")
-            yield found
+        yield b, code, entries, runs
+
 
+def restore(word: str, decoder: Decoder) -> str:
+    """The word in lower case, deobfuscated if it looks disguised, without outer signs."""
+    word = word.lower()
+    if word.isalpha() and not (len(word) > 2 and _DISGUISED.search(word)):
+        return word
+    core = word.strip(".,;:?\"'")
+    return _strip(decoder.decode(core) if looks_disguised(core) else core)
 
-def features(words: set[str]) -> set[str]:
-    """Words and, marked by ``^``, their heads."""
-    out = set(words)
-    for n in HEADS:
-        out.update("^" + w[:n] for w in words if len(w) >= n)
-    return out
+
+def features(word: str) -> list[str]:
+    """The word and, marked by ``^``, its heads."""
+    return [word, *["^" + word[:n] for n in HEADS if len(word) >= n]] if word else []
 
 
 def _trainer(model):
     def count(batches):
         decoder, known = Decoder(markov.Model(model.value)), {}
-        for rb in batches:
-            toxic, clean = Counter(), Counter()
-            for label, words in zip(rb.column(1).to_pylist(), document_words(rb.column(0), decoder, known)):
-                (toxic if label else clean).update(features(words))
-            names = list(toxic.keys() | clean.keys())
-            yield K.batch(["feature", "toxic", "clean"],
-                          [pa.array(names, pa.string()), pa.array([toxic[x] for x in names], pa.int64()),
-                           pa.array([clean[x] for x in names], pa.int64())])
+        toxic, clean = Counter(), Counter()
 
-    return count
+        def rows():
+            names = list(toxic.keys() | clean.keys())
+            return K.batch(["feature", "toxic", "clean"],
+                           [pa.array(names, pa.string()), pa.array([toxic[x] for x in names], pa.int64()),
+                            pa.array([clean[x] for x in names], pa.int64())])
 
+        for rb in batches:
+            labels = rb.column(1).to_numpy()
+            for b, code, entries, runs in block_words(rb.column(0), decoder, known, features):
+                ids: dict[str, int] = {}
+                # feature numbers of every code, and of the words of runs, as (document, feature) pairs
+                numbers = [[ids.setdefault(f, len(ids)) for f in e] for e in entries]
+                size = np.fromiter(map(len, numbers), np.int64, len(numbers))
+                flat = np.fromiter((x for n in numbers for x in n), np.int64, int(size.sum()))
+                at = np.unique(b.doc * max(1, len(entries)) + code)
+                doc, code = at // max(1, len(entries)), at % max(1, len(entries))
+                begin = np.cumsum(size) - size
+                each = np.repeat(begin[code] - (np.cumsum(size[code]) - size[code]), size[code]) + np.arange(int(size[code].sum()))
+                more = [(d, ids.setdefault(f, len(ids))) for d, words in runs.items() for w in words for f in features(w)]
+                doc = np.concatenate((np.repeat(doc, size[code]), np.array([d for d, _ in more], np.int64)))
+                pair = np.unique(doc * max(1, len(ids)) + np.concatenate((flat[each], np.array([f for _, f in more], np.int64))))
+                marked = labels[b.rows][pair // max(1, len(ids))] > 0
+                names = list(ids)
+                for counter, chosen in ((toxic, pair[marked]), (clean, pair[~marked])):
+                    n = np.bincount(chosen % max(1, len(ids)), minlength=len(ids))
+                    for i in np.flatnonzero(n).tolist():
+                        counter[names[i]] += int(n[i])
+                if len(clean) + len(toxic) > HELD:
+                    yield rows()
+                    toxic.clear()
+                    clean.clear()
+        yield rows()
 
-def score_words(words: set[str], weights: dict[str, float], base: float) -> float:
-    clean = 1.0 - base
-    for w in words:
-        if w in weights:
-            clean *= 1.0 - weights[w]
-        else:
-            clean *= 1.0 - max((weights.get("^" + w[:n], 0.0) for n in HEADS if len(w) >= n), default=0.0)
-    return 1.0 - clean
+    return count
 
 
 def _scorer(shared):
     def score(batches):
         counts, weights, base = shared.value
         decoder, known = Decoder(markov.Model(counts)), {}
+
+        def entry(word: str):
+            """(word, weight), or None where it says nothing."""
+            weight = weights.get(word) or max((weights.get(f, 0.0) for f in features(word)[1:]), default=0.0)
+            return (word, weight) if weight else None
+
         for rb in batches:
-            out = [score_words(words, weights, base) for words in document_words(rb.column(1), decoder, known)]
+            out = []
+            for b, code, entries, runs in block_words(rb.column(1), decoder, known, entry):
+                found: list[dict[str, float]] = [{} for _ in range(len(b.bounds) - 1)]
+                hit = np.fromiter((e is not None for e in entries), bool, len(entries))
+                for i in np.flatnonzero(hit[code]).tolist():
+                    word, weight = entries[code[i]]
+                    found[b.doc[i]][word] = weight
+                for doc, words in runs.items():
+                    found[doc].update(e for e in map(entry, words) if e)
+                for kept in found:
+                    clean = 1.0 - base
+                    for word in sorted(kept):
+                        clean *= 1.0 - kept[word]
+                    out.append(1.0 - clean)
             yield K.batch(["doc_id", "score"], [rb.column(0), pa.array(out, pa.float64())])
 
     return score
