@@ -24,8 +24,6 @@ HEADLINE = [
     ("features_33", "feature_combined_33"),      # baseline + comorbidity features
     ("auc", "auc_midrank"),                      # tie-correct ROC area
     ("rebalance", "subsample_7_3"),              # exact split + 7:3 rebalance
-    ("svm_fit", "svm_scores"),                   # linear SVM fit + scores
-    ("lda_fit", "lda_topic_features"),           # topic fit over every note + mean mixtures
 ]
 
 
