@@ -68,6 +68,18 @@ def test_quality_against_brute_force(make_docs):
     assert any(not w[7] and not w[8] for w in want) and all(w[8] for w in want if w[0] >= 300)
 
 
+def test_quality_limit_is_of_one_line(make_docs):
+    # a ten-word line: six times (60 words) in every third document, which hold and lose it like the others
+    menu = "home about news shop help jobs press terms privacy contact"
+    rows = [(i, "\n".join([menu] * (6 if i % 3 == 0 else 1) + [" ".join(f"w{i}x{k}" for k in range(24))]), "h") for i in range(15)]
+    want = brute_quality(rows, 10, 0.01, 40, 30)
+    got = {r.doc_id: (r.n_removed_words, r.base_failed, r.kept) for r in line_quality.judge(make_docs(rows)).collect()}
+    assert got == {w[0]: (w[6], w[7], w[8]) for w in want}
+    assert got[0][0] == 60 and got[1][0] == 10
+    out = line_quality.clean_documents(make_docs(rows), repeat_percent=100, keep_percent=20).collect()
+    assert len(out) == 15 and not any("privacy" in r.text for r in out)
+
+
 def test_quality_removes_lines(make_docs):
     rows = quality_rows(6)
     docs = make_docs(rows, extra=True)

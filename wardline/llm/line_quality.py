@@ -32,7 +32,7 @@ WINDOW = 8
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 PROFILE = ("doc_id long, host string, content long, n_words long, word_chars long, n_symbols long, "
-           "n_dup_lines long, n_repeat_words long, lines array<struct<line:long,words:int>>")
+           "n_dup_lines long, n_repeat_words long, lines array<struct<line:long,words:int,length:int>>")
 
 
 def _line_spans(b: K.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,12 +90,14 @@ def _profile(batches):
             _, first = np.unique(_in_doc(raw, doc), return_index=True)
             dup = np.bincount(doc, minlength=n) - np.bincount(doc[first], minlength=n)
             _, first, back = np.unique(_in_doc(norm, doc), return_index=True, return_inverse=True)
+            # of a distinct line: the words of all its occurrences, and (below) of one, its length
             total = np.bincount(back, weights=words, minlength=len(first)).astype(np.int32)
             order = np.argsort(doc[first], kind="stable")
             offsets = np.searchsorted(doc[first][order], np.arange(n + 1)).astype(np.int32)
             lines = pa.ListArray.from_arrays(
                 pa.array(offsets), pa.StructArray.from_arrays(
-                    [pa.array(K.signed(norm[first][order])), pa.array(total[order])], ["line", "words"]))
+                    [pa.array(K.signed(norm[first][order])), pa.array(total[order]),
+                     pa.array(words[first][order].astype(np.int32))], ["line", "words", "length"]))
             is_word = ~K.SPACE[b.data]
             yield K.batch(
                 ["doc_id", "host", "content", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -114,7 +116,7 @@ def _inputs(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> list:
 def furniture(profile: DataFrame, min_docs: int, share: float, max_line_words: int) -> DataFrame:
     """(host, line): lines that too many distinct documents of a host hold."""
     held = (profile.select("host", "content", F.explode("lines").alias("l"))
-            .where(F.col("l.words") <= max_line_words).select("host", F.col("l.line").alias("line"), "content"))
+            .where(F.col("l.length") <= max_line_words).select("host", F.col("l.line").alias("line"), "content"))
     counts = (held.distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("docs"))
               .where(F.col("docs") > min_docs))
     hosts = profile.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("of"))
@@ -131,8 +133,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     over = stored(furniture(profile, min_docs, share, max_line_words), "furniture")
     key = ["doc_id", "content"]
     lines = (profile.dropDuplicates(key).select(*key, "host", F.explode("lines").alias("l"))
-             .select(*key, "host", F.col("l.line").alias("line"), F.col("l.words").alias("words"))
-             .where(F.col("words") <= max_line_words))
+             .where(F.col("l.length") <= max_line_words)
+             .select(*key, "host", F.col("l.line").alias("line"), F.col("l.words").alias("words")))
     hit = (lines.join(over.hint("merge"), ["host", "line"]).groupBy(*key)
            .agg(F.sum("words").alias("n_removed_words"), F.sort_array(F.collect_list("line")).alias("removed"))
            .withColumnsRenamed({"doc_id": "_id", "content": "_content"}))
