@@ -173,6 +173,39 @@ def test_toxicity_held_out_accuracy(spark, make_docs, kind):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got.values())
 
 
+def english_decoder(spark, make_docs):
+    words = ("you are such a stupid idiot and this is good news hello all the people of a small book shop with feet "
+             "pretty full of a rude scum i am not so sure it is a well known idea see you soon").split()
+    rng = random.Random(3)
+    docs = make_docs([(i, " ".join(rng.choice(words) for _ in range(60))) for i in range(60)])
+    cells = (docs.selectExpr("cast(text as binary) as text").mapInArrow(toxicity._count_words, "cell long, n long")
+             .groupBy("cell").sum("n").withColumnRenamed("sum(n)", "n"))
+    return toxicity.Decoder(markov.Model(markov.collect_counts(cells, ["n"])[0]))
+
+
+def test_toxicity_decodes_several_and_long_words(spark, make_docs):
+    decoder = english_decoder(spark, make_docs)
+    assert decoder.decode("astupid", spaced=True) == "a stupid"
+    assert decoder.decode("youidiot", spaced=True) == "you idiot"
+    many = " ".join(["you are such a stupid idiot"] * 30)                       # far beyond 64 characters
+    assert decoder.decode(many.replace(" ", ""), spaced=True) == many
+    assert toxicity.restore(".".join(many.replace(" ", "")), decoder) == many
+    for word, want in (("stu.pid", "stupid"), ("st-upid", "stupid"), ("stuupid", "stupid"), ("id1ot", "idiot"),
+                       ("good", "good"), ("hello", "hello"), ("book", "book"), ("well-known", "well known")):
+        assert toxicity.restore(word, decoder) == want, word
+
+
+def test_toxicity_spaced_words_among_short_words(spark, make_docs):
+    rows, labels = [], []
+    for i in range(400):
+        toxic, held = i % 4 == 0, zlib.crc32(str(i).encode()) % 5 == 0
+        word = " ".join("stupid") if held and toxic else "stupid" if toxic else "pretty"
+        rows.append((i, f"this is such a {word} idea and you are so small n{i % 7}"))
+        labels.append((i, int(toxic)))
+    got = toxicity.score_documents(make_docs(rows), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    assert all(r.predicted == (r.doc_id % 4 == 0) for r in got)
+
+
 def test_toxicity_odd_rows(spark, make_docs):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     odd = spark.createDataFrame([(4, 1), (4, 0), (None, 1), (5, None), (999, 1)], "doc_id long, toxic int")

@@ -2,12 +2,14 @@
 
 1. A character Markov model (``markov.Model``, fixed size) is counted over the
    words of all documents.
-2. Words that look disguised (letters mixed with digits or signs, a letter
-   three times in a row, letters set apart by single signs) and runs of three
-   or more single-letter words are decoded: the lattice offers every character
-   as itself, as the letters it may stand for, as a repetition that is dropped
-   and, for signs, as nothing; the Viterbi path under the model's trigrams and
-   the channel's costs is the restored word.  Other words stand for themselves.
+2. Words that may be disguised (letters mixed with digits, signs between
+   letters, a letter twice in a row) and runs of three or more single-letter
+   words, of any length, are decoded: the lattice offers every character as
+   itself, as the letters it may stand for, as a repetition that is dropped
+   and, for signs, as nothing or as a word boundary, which it also offers
+   between the letters of a run; the Viterbi path under the model's trigrams
+   and the channel's costs is the restored word or words.  Other words stand
+   for themselves.  The model does not count the letters of runs as words.
 3. Features of a document are its distinct restored words (A-Z lower-cased,
    outer signs stripped) and their heads of 4 to 6 letters.  Over the labelled
    documents whose crc32(id as text) modulo ``FOLDS`` is not 0, the documents
@@ -30,6 +32,7 @@ passed over.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -47,7 +50,6 @@ AGAINST = {"word": 10, "head": 20}    # a clean document counts as so many again
 LEAST = 0.5
 FEATURES = 50_000
 HEADS = (4, 5, 6)
-MAX_DECODED = 64          # a longer word is taken as it is (keys, addresses)
 CACHED = 600_000          # words a worker holds
 HELD = 1_000_000          # features a training task gathers before it passes them on
 TRIGRAM = 2               # context length the decoder uses
@@ -55,54 +57,72 @@ TRIGRAM = 2               # context length the decoder uses
 # what a character may stand for besides itself
 STANDS_FOR = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
               "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i"}
-COST = {"same": 0.0, "stands": 1.5, "repeat": 1.0, "apart": 0.7, "sign": 6.0}
+COST = {"same": 0.0, "stands": 1.5, "repeat": 1.0, "double": 3.0, "apart": 0.7, "sign": 6.0}
 
 _LETTERS = r"[^\W\d_]"
-_DISGUISED = re.compile(rf"{_LETTERS}[0-9@$!|+(€£¡]|[0-9@$!|+(€£¡]{_LETTERS}|({_LETTERS})\1\1|"
-                        rf"(?<!{_LETTERS}){_LETTERS}([^\w\s]|_){_LETTERS}(?!{_LETTERS})")
+_DISGUISED = re.compile(rf"{_LETTERS}[0-9@$!|+(€£¡]|[0-9@$!|+(€£¡]{_LETTERS}|({_LETTERS})\1|"
+                        rf"{_LETTERS}(?:[^\w\s]|_)+{_LETTERS}")
 _OUTER = re.compile(rf"^(?:(?!{_LETTERS}).)+|(?:(?!{_LETTERS}).)+$", re.S)
-_SIGNS = ".-_*~'"
+
+
+def _is_sign(c: str) -> bool:
+    """Punctuation and symbols that stand for no letter (marks of a script belong to its letters)."""
+    return c not in STANDS_FOR and unicodedata.category(c)[0] in "PS"
 
 
 class Decoder:
     """Viterbi decoding of disguised words under a trigram model."""
 
     def __init__(self, model: markov.Model):
-        self.model, self.known = model, {}
-
-    def _step(self, context: tuple[int, int], symbol: int) -> float:
-        key = (*context, symbol)
-        if key not in self.known:
-            if len(self.known) > CACHED:
-                self.known.clear()
-            symbols = np.array([markov.EDGE, *context, symbol]) if context[0] != markov.EDGE else np.array([*context, symbol])
-            self.known[key] = float(np.log(self.model.probabilities(symbols)[-1]))
-        return self.known[key]
-
-    def decode(self, word: str) -> str:
-        # state: the last two symbols and the last letter taken; value: (log-probability, letters)
-        states = {(markov.EDGE, markov.EDGE, ""): (0.0, "")}
+        # log P(symbol | two symbols before), flat
+        p = np.full((markov.SYMBOLS,) * 3, 1.0 / markov.SYMBOLS)
+        for order in range(TRIGRAM + 1):
+            rows = markov.SYMBOLS ** order
+            counts = model.counts[order, :rows].astype(np.float64).reshape((1,) * (2 - order) + (markov.SYMBOLS,) * (order + 1))
+            n, t = counts.sum(axis=-1, keepdims=True), (counts > 0).sum(axis=-1, keepdims=True)
+            p = np.where(n > 0, (counts + t * p) / np.maximum(n + t, 1), p)
+        self.log = np.log(p).ravel().tolist()
+
+    def decode(self, word: str, spaced: bool = False) -> str:
+        """The restored word, or words parted by one space; ``spaced``: a word may end after every character."""
+        log, size, edge = self.log, markov.SYMBOLS, markov.EDGE
+        # state: the last two symbols and the last letter taken; value: (log-probability, letters as linked pairs)
+        states = {(edge, edge, ""): (0.0, None)}
+        start = (edge, edge, "")
         for i, ch in enumerate(word):
             nxt: dict = {}
 
-            def offer(state, score, text):
+            def offer(state, score, path):
                 if state not in nxt or nxt[state][0] < score:
-                    nxt[state] = (score, text)
-
-            letter = ch.isalpha()
-            options = [(c, COST["stands"]) for c in STANDS_FOR.get(ch, "")]
-            options.append((ch, COST["same"] if letter else COST["sign"]))
-            for (a, b, last), (score, text) in states.items():
-                for c, cost in options:
-                    symbol = _symbol(c)
-                    offer((b, symbol, c), score - cost + self._step((a, b), symbol), text + c)
+                    nxt[state] = (score, path)
+
+            letter, sign = ch.isalpha(), _is_sign(ch)
+            options = [(c, _symbol(c), COST["stands"]) for c in STANDS_FOR.get(ch, "")]
+            options.append((ch, _symbol(ch), COST["same"] if letter else COST["sign"]))
+            twice = letter and word[i - 1: i] == ch and word[i - 2: i - 1] != ch and word[i + 1: i + 2] != ch
+            repeat = COST["double" if twice else "repeat"]          # two of a letter are common in words, three are not
+            for (a, b, last), (score, path) in states.items():
+                at = (a * size + b) * size
+                for c, symbol, cost in options:
+                    offer((b, symbol, c), score - cost + log[at + symbol], (path, c))
                     if c == last:
-                        offer((a, b, last), score - cost - COST["repeat"], text)
-                if ch in _SIGNS:
-                    offer((a, b, last), score - COST["apart"], text)
+                        offer((a, b, last), score - cost - repeat, path)
+                if sign:
+                    offer((a, b, last), score - COST["apart"], path)
+                    if last:
+                        offer(start, score - COST["apart"] + log[at + edge], (path, " "))
+            if spaced and i + 1 < len(word):
+                for (a, b, last), (score, path) in list(nxt.items()):
+                    if last:
+                        offer(start, score + log[(a * size + b) * size + edge], (path, " "))
             states = nxt
-        best = max(((score + self._step((a, b), markov.EDGE), text) for (a, b, _), (score, text) in states.items()))
-        return best[1]
+        _, path = max(((score + (log[(a * size + b) * size + edge] if last else 0.0), path)
+                       for (a, b, last), (score, path) in states.items()), key=lambda x: x[0])
+        out = []
+        while path:
+            path, c = path
+            out.append(c)
+        return "".join(reversed(out)).strip(" ")
 
 
 def _symbol(c: str) -> int:
@@ -110,13 +130,22 @@ def _symbol(c: str) -> int:
 
 
 def looks_disguised(word: str) -> bool:
-    return len(word) <= MAX_DECODED and _DISGUISED.search(word) is not None
+    return _DISGUISED.search(word) is not None
 
 
 def _strip(word: str) -> str:
     return _OUTER.sub("", word)
 
 
+def _single_runs(b: K.Block) -> list[tuple[int, int, int]]:
+    """(first word, end, document) of the runs of three or more single-character words."""
+    width = b.ends - b.starts
+    single = (width == 1) | (width == 2) & (b.data[b.starts] >= 0xC0) if len(width) else width == 1
+    key = np.where(single, b.doc, -1)
+    at = np.concatenate(([0], np.flatnonzero(np.diff(key)) + 1, [len(key)]))
+    return [(lo, hi, int(key[lo])) for lo, hi in zip(at[:-1].tolist(), at[1:].tolist()) if hi - lo >= 3 and key[lo] >= 0]
+
+
 def block_words(column: pa.Array, decoder: Decoder, known: dict, entry):
     """(block, code of every word, entry of every code, {document: words of its spaced-out runs}) per block.
 
@@ -133,33 +162,31 @@ def block_words(column: pa.Array, decoder: Decoder, known: dict, entry):
             if found is known:
                 found = known[h] = entry(restore(raw[starts[i]: ends[i]].decode("utf-8", "replace"), decoder))
             entries.append(found)
-        # runs of single-character words
-        width = b.ends - b.starts
-        single = (width == 1) | (width == 2) & (b.data[b.starts] >= 0xC0) if len(width) else width == 1
         runs: dict[int, list[str]] = {}
-        change = np.flatnonzero(np.diff(np.concatenate(([0], single.astype(np.int8), [0]))))
-        long = change[1::2] - change[::2] >= 3
-        for lo, hi in zip(change[::2][long].tolist(), change[1::2][long].tolist()):
-            for doc in np.unique(b.doc[lo:hi]).tolist():
-                x, z = max(lo, int(b.first[doc])), min(hi, int(b.first[doc + 1]))
-                if z - x >= 3:
-                    run = "".join(raw[b.starts[i]: b.ends[i]].decode("utf-8", "replace").lower() for i in range(x, z))
-                    for at in range(0, len(run), MAX_DECODED):
-                        runs.setdefault(doc, []).append(decoder.decode(run[at: at + MAX_DECODED]))
+        for lo, hi, doc in _single_runs(b):
+            run = "".join(raw[b.starts[i]: b.ends[i]].decode("utf-8", "replace").lower() for i in range(lo, hi))
+            runs.setdefault(doc, []).extend(decoder.decode(run, spaced=True).split(" "))
         yield b, code, entries, runs
 
 
 def restore(word: str, decoder: Decoder) -> str:
-    """The word in lower case, deobfuscated if it looks disguised, without outer signs."""
+    """The word in lower case, deobfuscated if it looks disguised (then maybe several), without outer signs."""
     word = word.lower()
     if word.isalpha() and not (len(word) > 2 and _DISGUISED.search(word)):
         return word
     core = word.strip(".,;:?\"'")
-    return _strip(decoder.decode(core) if looks_disguised(core) else core)
+    if not looks_disguised(core):
+        return _strip(core)
+    return " ".join(filter(None, map(_strip, decoder.decode(core).split(" "))))
 
 
-def features(word: str) -> list[str]:
-    """The word and, marked by ``^``, its heads."""
+def features(restored: str) -> list[str]:
+    """The words and, marked by ``^``, their heads."""
+    words = restored.split(" ")
+    return _features(restored) if len(words) == 1 else list(dict.fromkeys(f for w in words for f in _features(w)))
+
+
+def _features(word: str) -> list[str]:
     return [word, *["^" + word[:n] for n in HEADS if len(word) >= n]] if word else []
 
 
@@ -209,10 +236,14 @@ def _scorer(shared):
         counts, weights, base = shared.value
         decoder, known = Decoder(markov.Model(counts)), {}
 
-        def entry(word: str):
-            """(word, weight), or None where it says nothing."""
-            weight = weights.get(word) or max((weights.get(f, 0.0) for f in features(word)[1:]), default=0.0)
-            return (word, weight) if weight else None
+        def entry(restored: str):
+            """{word: weight} of the words that say something, or None."""
+            out = {}
+            for word in restored.split(" "):
+                weight = weights.get(word) or max((weights.get(f, 0.0) for f in _features(word)[1:]), default=0.0)
+                if weight:
+                    out[word] = weight
+            return out or None
 
         for rb in batches:
             out = []
@@ -220,10 +251,9 @@ def _scorer(shared):
                 found: list[dict[str, float]] = [{} for _ in range(len(b.bounds) - 1)]
                 hit = np.fromiter((e is not None for e in entries), bool, len(entries))
                 for i in np.flatnonzero(hit[code]).tolist():
-                    word, weight = entries[code[i]]
-                    found[b.doc[i]][word] = weight
+                    found[b.doc[i]].update(entries[code[i]])
                 for doc, words in runs.items():
-                    found[doc].update(e for e in map(entry, words) if e)
+                    found[doc].update(entry(" ".join(words)) or {})
                 for kept in found:
                     clean = 1.0 - base
                     for word in sorted(kept):
@@ -240,13 +270,19 @@ def _count_words(batches):
         for b in K.blocks(rb.column(0)):
             if not len(b.starts):
                 continue
+            words = np.ones(len(b.starts), bool)
+            for lo, hi, _ in _single_runs(b):          # letters set apart are not words
+                words[lo:hi] = False
+            starts = b.starts[words]
+            if not len(starts):
+                continue
             # words are laid out behind one another between boundaries
-            length = b.ends - b.starts
+            length = b.ends[words] - starts
             size = length + 1
             ends = np.cumsum(size)
             symbols = np.full(int(ends[-1]) + 1, markov.EDGE, np.int64)
             at = np.repeat(ends - size + 1, length) + np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
-            symbols[at] = markov.CODE[b.data[np.repeat(b.starts, length) + np.arange(int(length.sum()))
+            symbols[at] = markov.CODE[b.data[np.repeat(starts, length) + np.arange(int(length.sum()))
                                              - np.repeat(np.cumsum(length) - length, length)]]
             padded = np.concatenate((np.full(2, markov.EDGE), symbols))
             n = len(symbols) - 1
