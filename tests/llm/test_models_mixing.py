@@ -114,6 +114,48 @@ def test_url_model_learns_the_rules(spark):
     assert sum(got[4000 + i].verdict == "block" for i in range(50)) >= 45
 
 
+def exact_mean_log(texts, url):
+    """Witten-Bell interpolation over dictionaries of all contexts."""
+    counts = {}
+    for t in texts:
+        x = [markov.EDGE] * markov.ORDER + list(markov.encode(t)[1:])
+        for i in range(markov.ORDER, len(x)):
+            for order in range(markov.ORDER + 1):
+                held = counts.setdefault(tuple(x[i - order: i]), {})
+                held[x[i]] = held.get(x[i], 0) + 1
+    x, total = [markov.EDGE] * markov.ORDER + list(markov.encode(url)[1:]), 0.0
+    for i in range(markov.ORDER, len(x)):
+        p = 1 / markov.SYMBOLS
+        for order in range(markov.ORDER + 1):
+            held = counts.get(tuple(x[i - order: i]))
+            if held:
+                p = (held.get(x[i], 0) + len(held) * p) / (sum(held.values()) + len(held))
+        total += np.log(p)
+    return total / (len(x) - markov.ORDER)
+
+
+def test_url_scores_match_exact_contexts(spark):
+    rng = random.Random(6)
+
+    def name(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz-.") for _ in range(n))
+
+    rows = [(i, f"http://a{name(12)}.example.com/{name(40)}") for i in range(900)]
+    rows += [(1000 + i, f"http://b{name(12)}.site.net/es/{name(40)}") for i in range(900)]
+    rows += [(3000 + i, f"http://{name(9)}.org/{name(20)}") for i in range(40)] + [(5000, "http://"), (5001, None)]
+    got = {r.page_id: r for r in urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert len(got) == len(rows) and got[5000].score == 0.0 and got[5001].verdict == "allow"
+    seen = {"com/": [], "net/es/": []}
+    for r in got.values():
+        text = (r.host + r.path).encode()
+        if r.rule and zlib.crc32(text) % urls.HOLD:
+            seen[r.rule].append(text)
+    for i in range(40):
+        text = (got[3000 + i].host + got[3000 + i].path).encode()
+        want = exact_mean_log(seen["com/"], text) - exact_mean_log(seen["net/es/"], text)
+        assert got[3000 + i].score == pytest.approx(want, abs=1e-7)
+
+
 def test_markov_probabilities_sum_to_one():
     counts = np.zeros(int(np.prod(markov.SHAPE)), np.float32)
     for text in (b"banana", b"bandana", b"cab"):

@@ -12,6 +12,10 @@ calibrated on the ruled urls whose hash falls into every ``HOLD``-th, which the
 models do not see: the one with the best balanced accuracy, from a histogram of
 fixed size.
 
+All contexts are exact: every distinct gram (context and symbol) of the urls to
+judge gets its log-ratio by joins to the counts, and a url's score is the sum
+over its grams, of integers, so that it does not depend on the order.
+
 Defined results: a null url and one without ``://`` have an empty host and
 path and no rule, and are allowed (no evidence); without urls of both kinds
 nothing is blocked but by rule; repeated rows are judged alike; an empty table
@@ -21,11 +25,9 @@ gives an empty result; extra columns are passed over.
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm import kernels as K
 from wardline.llm import markov
 from wardline.session import stored
 
@@ -55,25 +57,6 @@ def matching_rule(host: Column, path: Column, rules=RULES) -> Column:
     return out
 
 
-def _scorer(models):
-    def score(batches):
-        allow, block = models.value
-        allow, block = markov.Model(allow), markov.Model(block)
-        known: dict[bytes, float] = {}
-        for rb in batches:
-            out = []
-            for text in rb.column(1).to_pylist():
-                if text not in known:
-                    if len(known) >= 100_000:
-                        known.clear()
-                    symbols = markov.encode(text)
-                    known[text] = allow.mean_log(symbols) - block.mean_log(symbols) if text else 0.0
-                out.append(known[text])
-            yield K.batch(["key", "score"], [rb.column(0), pa.array(out, pa.float64())])
-
-    return score
-
-
 def _threshold(scored: DataFrame) -> float:
     """Score with the best balanced accuracy over the held-out ruled urls; scores at or above it are allowed."""
     bin_ = F.least(F.greatest(F.floor((F.col("score") + SPAN) / (2 * SPAN) * BINS), F.lit(0)), F.lit(BINS - 1))
@@ -95,29 +78,31 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     rows = stored(pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
                   .withColumn("ruled", matching_rule(F.col("host"), F.col("path"), rules)), "urls")
     text = F.concat("host", "path")
+    key = F.xxhash64(text)
     held = F.pmod(F.crc32(text.cast("binary")), F.lit(HOLD)) == 0
     good, bad = F.col("ruled.verdict") == "allow", F.col("ruled.verdict") == "block"
-    ruled = rows.where("ruled is not null").select(text.cast("binary").alias("text"), held.alias("held"),
+    ruled = rows.where("ruled is not null").select(key.alias("key"), text.cast("binary").alias("text"), held.alias("held"),
                                                   good.cast("int").alias("good"), bad.cast("int").alias("bad"))
-    counts = markov.count_cells(ruled.where("not held"), "text", ["good", "bad"])
-    models = markov.collect_counts(counts, ["good", "bad"])
-    spark = pages.sparkSession
-    both = bool(models[0].any() and models[1].any())
+    counted = stored(markov.count_grams(ruled.where("not held"), "text", ["good", "bad"]), "grams")
+    both = counted.agg(F.coalesce(F.max("good") > 0, F.lit(False)) & F.coalesce(F.max("bad") > 0, F.lit(False))).first()[0]
     if not both:
         verdict, score = F.lit("allow"), F.lit(None).cast("double")
         scored = rows.withColumn("score", score)
     else:
-        shared = spark.sparkContext.broadcast(models)                # of fixed size
-        sample = (ruled.where("held").groupBy("text").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")))
-        tried = sample.select("text", "good", "bad")
-        keyed = tried.select(F.struct("good", "bad").alias("key"), "text")
-        scores = keyed.mapInArrow(_scorer(shared), "key struct<good:long,bad:long>, score double")
-        limit = _threshold(scores.select("key.good", "key.bad", "score"))
-        open_ = rows.where("ruled is null").select(F.struct("id", "host", "path", "ruled").alias("key"),
-                                                   text.cast("binary").alias("text"))
-        kind = open_.schema["key"].dataType.simpleString()
-        open_ = open_.mapInArrow(_scorer(shared), f"key {kind}, score double").select("key.*", "score")
-        scored = rows.where("ruled is not null").withColumn("score", F.lit(None).cast("double")).unionByName(open_)
+        # every distinct text that needs a score; an empty one scores 0
+        texts = (rows.where((text != "") & (F.col("ruled").isNull() | held))
+                 .select(key.alias("key"), text.cast("binary").alias("text")).dropDuplicates(["key"]))
+        held_grams = stored(markov.text_grams(texts, "key", "text"), "text_grams")
+        ratios = stored(markov.log_ratios(held_grams.select("gram").distinct(), counted, "good", "bad"), "ratios")
+        scores = stored(held_grams.join(ratios.hint("merge"), "gram").groupBy("key")
+                        .agg((F.sum(F.col("n") * F.col("ratio")) * markov.UNIT / F.sum("n")).alias("score")), "scores")
+        sample = ruled.where("held").groupBy("key").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+        limit = _threshold(sample.join(scores.hint("merge"), "key", "left").fillna(0.0, ["score"]))
+        open_ = (rows.where(F.col("ruled").isNull() & (text != "")).withColumn("key", key)
+                 .join(scores.hint("merge"), "key").drop("key"))
+        bare = rows.where(F.col("ruled").isNull() & (text == "")).withColumn("score", F.lit(0.0))
+        scored = (rows.where("ruled is not null").withColumn("score", F.lit(None).cast("double"))
+                  .unionByName(open_).unionByName(bare))
         verdict = F.when((text == "") | (F.col("score") >= limit), "allow").otherwise("block")
     return scored.select(F.col("id").alias(id_col), "host", "path", F.col("ruled.rule").alias("rule"),
                          F.coalesce("ruled.verdict", verdict).alias("verdict"), "score")
