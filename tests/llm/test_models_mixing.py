@@ -248,6 +248,22 @@ def test_toxicity_spaced_words_among_short_words(spark, make_docs):
     assert all(r.predicted == (r.doc_id % 4 == 0) for r in got)
 
 
+def test_toxicity_keeps_every_feature(spark, make_docs):
+    rng = random.Random(9)
+    rare = ["zq" + "".join(rng.sample("abcdefghijklm", 6)) for _ in range(20)]      # last in the order of the features
+    words = list({"".join(rng.sample("abcdefghijklmnopqrstuvwxy", 8)) for _ in range(28_000)})
+    train = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5][:300]
+    held = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5 == 0][:20]
+    rows = []
+    for k in range(0, 300, 2):                                                      # a word in two documents each
+        text = " ".join(words[k // 2::150] + rare[k // 2: k // 2 + 1])
+        rows += [(train[k], text), (train[k + 1], text + " again")]
+    labels = [(i, 1) for i, _ in rows] + [(i, 0) for i in range(2000, 2400)]
+    rows += [(i, "plain") for i in range(2000, 2400)] + list(zip(held, rare))
+    got = {r.doc_id: r for r in toxicity.score_documents(make_docs(rows), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    assert all(got[i].predicted == 1 for i in held) and not any(got[i].predicted for i in range(2000, 2400))
+
+
 def test_toxicity_odd_rows(spark, make_docs):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     odd = spark.createDataFrame([(4, 1), (4, 0), (None, 1), (5, None), (999, 1)], "doc_id long, toxic int")

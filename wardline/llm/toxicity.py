@@ -15,8 +15,8 @@
    documents whose crc32(id as text) modulo ``FOLDS`` is not 0, the documents
    of each class that hold a feature are counted, equal texts once.  A feature's
    weight is the share of toxic ones, with a clean one counted ``AGAINST`` times,
-   shrunk to the base rate by ``SHRINK`` documents; those of at least ``LEAST``
-   are kept, the ``FEATURES`` most frequent at most.
+   shrunk to the base rate by ``SHRINK`` documents; all of at least ``LEAST``
+   are kept, as a table that the documents' distinct words are joined to.
 4. A document's score is 1 - (1 - base) * product(1 - weight) over its kept
    features, the heads of a word counting only where the word itself is not kept.
    ``base``, the score of a text without such a feature, is half the base rate
@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -48,7 +49,7 @@ FOLDS = 5
 SHRINK = 8.0
 AGAINST = {"word": 10, "head": 20}    # a clean document counts as so many against a feature
 LEAST = 0.5
-FEATURES = 50_000
+SIEVE = 1 << 22           # cells; a word whose features all miss it has no weight, the others are joined
 HEADS = (4, 5, 6)
 CACHED = 600_000          # words a worker holds
 HELD = 1_000_000          # features a training task gathers before it passes them on
@@ -231,37 +232,43 @@ def _trainer(model):
     return count
 
 
-def _scorer(shared):
-    def score(batches):
-        counts, weights, base = shared.value
+def _hits(sieve, restored: str) -> list[str] | None:
+    """The words with a feature in the sieve."""
+    return [w for w in restored.split(" ")
+            if any(sieve[zlib.crc32(f.encode()) % SIEVE] for f in features(w))] or None
+
+
+def _finder(shared):
+    """(content, word) of the documents' restored words that may have a weight."""
+    def find(batches):
+        counts, sieve = shared.value
         decoder, known = Decoder(markov.Model(counts)), {}
 
         def entry(restored: str):
-            """{word: weight} of the words that say something, or None."""
-            out = {}
-            for word in restored.split(" "):
-                weight = weights.get(word) or max((weights.get(f, 0.0) for f in _features(word)[1:]), default=0.0)
-                if weight:
-                    out[word] = weight
-            return out or None
+            return _hits(sieve, restored)
 
         for rb in batches:
-            out = []
             for b, code, entries, runs in block_words(rb.column(1), decoder, known, entry):
-                found: list[dict[str, float]] = [{} for _ in range(len(b.bounds) - 1)]
+                found: dict[int, set[str]] = {}
                 hit = np.fromiter((e is not None for e in entries), bool, len(entries))
                 for i in np.flatnonzero(hit[code]).tolist():
-                    found[b.doc[i]].update(entries[code[i]])
+                    found.setdefault(int(b.doc[i]), set()).update(entries[code[i]])
                 for doc, words in runs.items():
-                    found[doc].update(entry(" ".join(words)) or {})
-                for kept in found:
-                    clean = 1.0 - base
-                    for word in sorted(kept):
-                        clean *= 1.0 - kept[word]
-                    out.append(1.0 - clean)
-            yield K.batch(["doc_id", "score"], [rb.column(0), pa.array(out, pa.float64())])
+                    found.setdefault(doc, set()).update(entry(" ".join(words)) or ())
+                doc = np.repeat(list(found), [len(w) for w in found.values()]).astype(np.int64)
+                yield K.batch(["content", "word"], [rb.column(0)[b.rows].take(pa.array(doc)),
+                                                    pa.array([w for held in found.values() for w in held], pa.string())])
+
+    return find
+
 
-    return score
+def _word_weights(words: DataFrame, kept: DataFrame) -> DataFrame:
+    """(word, weight): the word's own weight, or else the largest of its heads."""
+    heads = [F.when(F.char_length("word") >= n, F.concat(F.lit("^"), F.substring("word", 1, n))) for n in HEADS]
+    each = words.select("word", F.explode(F.array_distinct(F.array(F.col("word"), *heads))).alias("feature"))
+    own = F.max(F.when(F.col("feature") == F.col("word"), F.col("w")))
+    return (each.where("feature is not null").join(kept.hint("merge"), "feature").groupBy("word")
+            .agg(F.coalesce(own, F.max("w")).alias("weight")))
 
 
 def _count_words(batches):
@@ -326,10 +333,20 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     rate = sums[1] / sums[0] if sums[0] else 0.1
     against = F.when(F.col("feature").startswith("^"), AGAINST["head"]).otherwise(AGAINST["word"])
     weight = (F.col("toxic") + SHRINK * rate) / (F.col("toxic") + against * F.col("clean") + SHRINK)
-    kept = (counted.withColumn("w", weight).where(F.col("w") >= LEAST)
-            .orderBy(F.col("toxic").desc(), "feature").limit(FEATURES).select("feature", "w").toArrow())
-    weights = dict(zip(kept.column("feature").to_pylist(), kept.column("w").to_pylist()))
-    shared = spark.sparkContext.broadcast((counts, weights, min(rate, 0.5) / 2))   # FEATURES entries at most
-    out = rows.mapInArrow(_scorer(shared), "doc_id long, score double")
+    kept = counted.withColumn("w", weight).where(F.col("w") >= LEAST).select("feature", "w")
+    cell = F.crc32(F.col("feature").cast("binary")) % F.lit(SIEVE)
+    sieve = np.zeros(SIEVE, bool)
+    sieve[kept.select(cell.alias("cell")).distinct().toArrow().column("cell").to_numpy()] = True
+    shared = spark.sparkContext.broadcast((counts, sieve))             # of fixed size
+    base = min(rate, 0.5) / 2
+    content = F.xxhash64("text")
+    pairs = stored(rows.select(content.alias("content"), "text").mapInArrow(_finder(shared), "content long, word string")
+                   .distinct(), "pairs")
+    weights = _word_weights(pairs.select("word").distinct(), kept)
+    clean = F.aggregate(F.array_sort(F.collect_list(F.struct("word", "weight"))), F.lit(1.0 - base),
+                        lambda left, x: left * (F.lit(1.0) - x["weight"]))
+    scores = pairs.join(stored(weights, "weights").hint("merge"), "word").groupBy("content").agg((F.lit(1.0) - clean).alias("score"))
+    out = (rows.select("doc_id", content.alias("content")).join(stored(scores, "scores").hint("merge"), "content", "left")
+           .withColumn("score", F.coalesce("score", F.lit(1.0 - (1.0 - base)))))
     return out.select(F.col("doc_id").alias(id_col), F.coalesce(_held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
                       "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
