@@ -62,3 +62,35 @@ def test_topic_mixtures_sum_to_one(spark):
     assert all(len(r.features) == 3 and abs(sum(r.features) - 1) < 1e-9 for r in feats)
     tt = top_terms(tm, 2).collect()
     assert len(tt) == 6 and all(t.term in {"alpha", "beta", "gamma", "delta", "epsilon"} for t in tt)
+
+
+def test_registered_fits_are_the_full_ones(monkeypatch):
+    """k = 50 and 50 iterations in every topic fit, 5 folds in the derived grid."""
+    from types import SimpleNamespace
+
+    from wardline.plans import queries_models as Q
+
+    seen = {}
+
+    def spy(name):
+        def run(*args, **kw):
+            seen[name] = kw
+            raise StopIteration
+        return run
+
+    some = SimpleNamespace(**dict.fromkeys(("patients", "stays", "notes", "scores", "flags", "train", "test", "labels",
+                                            "train_balanced")))
+    some.timeline = SimpleNamespace(cohort=None, first_note=None, tokens=None)
+    monkeypatch.setattr(Q, "_prep", lambda *a: (some, some))
+    for name in ("fit_topics", "run_retrospective_topics", "run_time_varying_topics", "run_derived"):
+        monkeypatch.setattr(Q, name, spy(name))
+    for query in (Q.q_lda_topic_features, Q.q_lda_top_terms, Q.q_report_retrospective_topics, Q.q_report_time_varying,
+                  Q.q_svm_cv_derived):
+        seen.clear()
+        try:
+            query(None, None)
+        except StopIteration:
+            pass
+        (kw,) = seen.values()
+        assert kw.get("k", 50) == 50 and kw.get("max_iter", kw.get("lda_iter", 50)) == 50
+        assert kw.get("num_folds", 5) == 5

@@ -22,7 +22,7 @@ from wardline.plans.queries_text import SW
 from wardline.sources.testdata import load_views
 
 
-LDA_ITER = 5
+LDA_ITER = 50
 
 
 def _prep(spark, sf_dir):
@@ -91,7 +91,7 @@ def q_report_derived(spark, sf_dir):
 def q_report_time_varying(spark, sf_dir):
     _, p = _prep(spark, sf_dir)
     tl = p.timeline
-    return run_time_varying_topics(p.train, p.test, p.labels, tl.first_note, tl.tokens, k=20, lda_iter=2).rows
+    return run_time_varying_topics(p.train, p.test, p.labels, tl.first_note, tl.tokens, k=50, lda_iter=LDA_ITER).rows
 
 
 # --- deterministic columns of the reports, value-checked ---------------------
@@ -218,9 +218,9 @@ def q_split_notes_semi(spark, sf_dir):
             .unionByName(notes.join(p.test.select("pid"), "pid", "left_semi").select("note_id", F.lit(0).alias("is_train"))))
 
 
-# The derived model's grid (two folds: 48 fits)
+# The derived model's grid (five folds)
 @register("svm_cv_derived")
 def q_svm_cv_derived(spark, sf_dir):
     t, p = _prep(spark, sf_dir)
     return run_derived(p.train, p.test, p.labels, p.timeline.cohort, t.scores, t.flags, use_cv=True,
-                       num_folds=2).extra["grid"]
+                       num_folds=5).extra["grid"]
