@@ -93,6 +93,22 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written(df: DataFrame, name: str = "table", **options) -> DataFrame:
+    """Like :func:`stored`, with one file per task that made it; :func:`discard` deletes it again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.options(**options).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of :func:`written` that nothing reads any more."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._written_to)
+        path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The same as :func:`stored`; the name the pipelines use."""
     return stored(df, "lineage")
