@@ -166,4 +166,6 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:
+    from wardline.llm import queries_search  # noqa: F401  (registers its queries here)
+
     return dict(QUERIES)
