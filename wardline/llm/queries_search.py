@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import phrases
+from wardline.llm import byte_windows, phrases
 from wardline.llm.queries import LOWER, documents, query
 
 PHRASE_CTES = f"""
@@ -33,3 +33,24 @@ FROM worst JOIN n USING (lang)
 QUALIFY rank <= 2000""")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(documents(spark, sf_dir)).drop("left_open", "right_open")
+
+
+@query("op13_suffix_dedup", """
+WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT doc_id, i, sha256(substr(h, 2 * i + 1, 100)) AS s
+        FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM h WHERE length(h) >= 100)),
+hit AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY s) AS least FROM win) WHERE doc_id > least),
+marked AS (SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS new FROM hit),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked),
+span AS (SELECT doc_id, min(i) AS lo, max(i) + 50 AS hi FROM numbered GROUP BY doc_id, span),
+gap AS (SELECT doc_id, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS a, lo AS b FROM span
+        UNION ALL SELECT doc_id, max(hi), NULL FROM span GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(b, length(h) // 2) - a)), '' ORDER BY a) AS k
+         FROM gap JOIN h USING (doc_id) GROUP BY doc_id),
+total AS (SELECT doc_id, sum(hi - lo)::BIGINT AS gone, count(*) AS spans FROM span GROUP BY doc_id)
+SELECT h.doc_id, length(h) // 2 AS n_bytes, coalesce(gone, 0) AS n_removed, coalesce(spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM h LEFT JOIN total USING (doc_id) LEFT JOIN kept USING (doc_id)""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (byte_windows.repeated_bytes(documents(spark, sf_dir), with_bytes=False)
+            .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
