@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import byte_windows, phrases
+from wardline.llm import byte_windows, lexical, phrases
 from wardline.llm.queries import LOWER, documents, query
 
 PHRASE_CTES = f"""
@@ -35,6 +35,25 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(documents(spark, sf_dir)).drop("left_open", "right_open")
 
 
+TERMS = f"regexp_extract_all({LOWER}, '{lexical.TERM}')"
+
+
+@query("op12_lexical_search", f"""
+WITH d AS (SELECT doc_id, {TERMS.format("coalesce(text, '')")} AS w FROM documents),
+t AS (SELECT doc_id, unnest(w) AS t FROM d),
+tf AS (SELECT doc_id, t, count(*) AS tf FROM t GROUP BY ALL),
+c AS (SELECT count(*) FILTER (len(w) > 0) AS n, sum(len(w))::BIGINT AS l FROM d),
+df AS (SELECT t, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, c GROUP BY t, n),
+m AS (SELECT doc_id, 100 - 90 + (90 * len(w)::BIGINT * n) // l AS m FROM d, c),
+q AS (SELECT DISTINCT item_id, unnest({TERMS.format("coalesce(text, '')")}) AS t FROM benchmark),
+s AS (SELECT item_id, doc_id, sum(df.w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM q JOIN df USING (t) JOIN tf USING (t) JOIN m USING (doc_id) GROUP BY 1, 2 HAVING score > 0)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM s
+QUALIFY rank <= 10""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 @query("op13_suffix_dedup", """
 WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 win AS (SELECT doc_id, i, sha256(substr(h, 2 * i + 1, 100)) AS s
