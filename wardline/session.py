@@ -7,6 +7,7 @@ session uses a scratch folder of its own and a cluster session is an error.
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -103,10 +104,18 @@ def written(df: DataFrame, name: str = "table", **options) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete tables of :func:`written` that nothing reads any more."""
+    """Delete tables of :func:`written` that nothing reads any more.
+
+    Spark drops the shuffle files of finished jobs once the driver's collector
+    has found their plans unreachable, so it is asked to look.
+    """
     for table in tables:
-        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._written_to)
+        jvm = table.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table._written_to)
         path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    if tables:
+        gc.collect()
+        jvm.System.gc()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
