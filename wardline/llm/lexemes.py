@@ -11,6 +11,8 @@ from wardline.llm import kernels as K
 
 SIEVE_BITS = 1 << 25      # 4 MB whatever the input; a fuller sieve lets more through and never loses a member
 
+CHUNK = 1 << 12
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 
@@ -48,17 +50,26 @@ def word_hashes(words: pa.Array) -> np.ndarray:
     return K.byte_span_hash(K.BYTE_EXACT[data], offsets[:-1], offsets[1:])
 
 
+def _chunk(table: pa.Table) -> pa.Table:
+    words = np.zeros(CHUNK, np.int64)
+    at = table.column("word").to_numpy()
+    words[at % CHUNK] = table.column("bits").to_numpy()
+    return pa.table({"chunk": pa.array([at[0] // CHUNK], pa.int64()), "words": pa.array([words.tobytes()], pa.binary())})
+
+
 def sieve(spark: SparkSession, hashes: DataFrame, bits: int = SIEVE_BITS):
-    """Broadcast bitmap of a column of hashes: ``bits`` bits, read in ``bits / 64`` rows at most."""
+    """Broadcast bitmap of a column of hashes: ``bits`` bits, fetched as chunks of ``CHUNK`` longs."""
     cell = F.pmod(hashes[hashes.columns[0]], F.lit(bits))
-    rows = (hashes.select(cell.alias("c")).groupBy(F.expr("c div 64").alias("word"))
-            .agg(F.expr("bit_or(shiftleft(1L, cast(c % 64 as int)))").alias("bits")).toPandas())
-    table = np.zeros(bits // 64, np.int64)
-    table[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+    words = (hashes.select(cell.alias("c")).groupBy(F.expr("c div 64").alias("word"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(c % 64 as int)))").alias("bits")))
+    chunks = words.groupBy(F.expr(f"word div {CHUNK}")).applyInArrow(_chunk, "chunk long, words binary")
+    table = np.zeros(max(bits // 64, CHUNK), np.int64)
+    for row in chunks.collect():
+        table[row["chunk"] * CHUNK: (row["chunk"] + 1) * CHUNK] = np.frombuffer(row["words"], np.int64)
     return spark.sparkContext.broadcast(table)
 
 
 def passes(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Whether each hash may be in the sieve (members always are)."""
-    cell = np.mod(K.signed(hashes), np.int64(64 * len(table)))
+    cell = np.mod(K.signed(hashes), np.int64(64 * len(table)))          # bits are a power of two
     return (table[cell >> 6] >> (cell & 63)) & 1 == 1
