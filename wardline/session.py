@@ -98,24 +98,27 @@ def written(df: DataFrame, name: str = "table", **options) -> DataFrame:
     """Like :func:`stored`, with one file per task that made it; :func:`discard` deletes it again."""
     path = scratch_path(df.sparkSession, name)
     df.write.options(**options).parquet(path)
+    let_go(df.sparkSession)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._written_to = path
     return out
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete tables of :func:`written` that nothing reads any more.
-
-    Spark drops the shuffle files of finished jobs once the driver's collector
-    has found their plans unreachable, so it is asked to look.
-    """
+    """Delete tables of :func:`written` that nothing reads any more."""
     for table in tables:
-        jvm = table.sparkSession._jvm
-        path = jvm.org.apache.hadoop.fs.Path(table._written_to)
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._written_to)
         path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    if tables:
-        gc.collect()
-        jvm.System.gc()
+
+
+def let_go(spark: SparkSession) -> None:
+    """Have Spark drop the shuffle files of finished jobs.
+
+    Its cleaner does so once the driver's collector has found their plans
+    unreachable, and an idle driver may not collect for half an hour.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
