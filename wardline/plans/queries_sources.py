@@ -20,6 +20,7 @@ from wardline.sources.csv import (
     load_csv_as_table, normalize_note_text, normalize_quoted_field, read_csv_strings,
     table_name_column, write_report,
 )
+from wardline.sources.records import clean_note_records, read_quoted_csv
 from wardline.sources.testdata import FLAG_NAMES, load_views, read_table
 
 FMT = "yyyy-MM-dd HH:mm:ss"
@@ -128,7 +129,7 @@ def _raw_flags(spark, sf_dir):
            category, md5(text) AS text_md5
     FROM notes_v WHERE NOT contains(lower(category), 'discharge') AND hadm_id IS NOT NULL""")
 def q_load_notes(spark, sf_dir):
-    loaded = loaders.notes(read_csv_strings(spark, stage_csv(spark, _raw_notes(spark, sf_dir), "NOTEEVENTS.csv"), True))
+    loaded = loaders.notes(read_quoted_csv(spark, stage_csv(spark, _raw_notes(spark, sf_dir), "NOTEEVENTS.csv")))
     return loaded.select("note_id", "pid", "hadm_id", "chart_ts", "category", F.md5("text").alias("text_md5"))
 
 
@@ -156,6 +157,26 @@ def q_csv_style_clean(spark, sf_dir):
                     F.md5(normalize_note_text(F.col("t"))).alias("note_md5"))
 
 
+@register("notes_clean_records", r"""
+    SELECT doc_id, md5(array_to_string(list_transform(part, lambda x, i:
+               CASE WHEN i % 2 = 0 THEN replace(x, ',', ';') ELSE x END), '"')) AS record_md5
+    FROM (SELECT doc_id, string_split(array_to_string(list_append(list_transform(line[1 : len(line) - 1],
+                 lambda x: regexp_replace(x, '\r$', '')), line[len(line)]), ' '), '"') AS part
+          FROM (SELECT doc_id, list_filter(list_transform(string_split(
+                         concat(doc_id, ',"', replace(COALESCE(text, ''), '"', '""'), '"'), chr(10)),
+                       lambda x: replace(replace(x, '""', ' '), '  ', ' ')),
+                       lambda x: NOT regexp_full_match(x, '\s*')) AS line FROM documents))""")
+def q_notes_clean_records(spark, sf_dir):
+    """S13 over quoted multi-line records: written as lines, cut by byte ranges, cleaned."""
+    d = read_table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "notes")
+    d.select(F.concat(F.col("doc_id"), F.lit(',"'), F.replace(F.coalesce("text", F.lit("")), F.lit('"'), F.lit('""')),
+                      F.lit('"'))).write.text(path)
+    records = clean_note_records(spark, path)
+    return records.select(F.regexp_extract("record", "^([0-9]+),", 1).cast("long").alias("doc_id"),
+                          F.md5("record").alias("record_md5"))
+
+
 @register("single_file_sink", """
     SELECT CAST(n_patients AS VARCHAR) AS n_patients, CAST(n_in_stay AS VARCHAR) AS n_in_stay,
            CAST(n_30d AS VARCHAR) AS n_30d, CAST(n_1y AS VARCHAR) AS n_1y FROM (

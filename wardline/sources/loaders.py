@@ -22,6 +22,7 @@ from wardline.functions.values import (
 )
 from wardline.operators.timeline import filter_notes
 from wardline.sources.csv import read_csv_strings
+from wardline.sources.records import read_quoted_csv
 from wardline.session import stored
 from wardline.sources.testdata import FLAG_NAMES
 
@@ -122,7 +123,8 @@ def load_all(spark: SparkSession, data_dir: str, files: dict | None = None) -> R
 
     def rd(name, typed):
         # only notes hold line breaks inside their fields
-        return stored(typed(read_csv_strings(spark, f"{base}/{f[name]}", multiline=name == "notes")), name)
+        read = read_quoted_csv if name == "notes" else read_csv_strings
+        return stored(typed(read(spark, f"{base}/{f[name]}")), name)
 
     return RawTables(patients=rd("patients", patients), notes=rd("notes", notes), flags=rd("flags", flags),
                      stays=rd("stays", stays), scores=rd("scores", scores))
