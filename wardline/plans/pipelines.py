@@ -61,11 +61,7 @@ def hour_sweep(test_cohort: DataFrame, scores: DataFrame, first_note: DataFrame,
 
 def score_with_model(model, feats: DataFrame, entity: str = "pid") -> DataFrame:
     """Raw margin w.x + b of a fitted linear model (no threshold)."""
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-
-    v = feats.withColumn("features", array_to_vector("features"))
-    return (model.transform(v)
-            .select(entity, vector_to_array("rawPrediction")[1].alias("score")))
+    return feats.select(entity, model.margin(F.col("features")).alias("score"))
 
 
 # ---------------------------------------------------------------------------
