@@ -115,8 +115,10 @@ def let_go(spark: SparkSession) -> None:
     """Have Spark drop the shuffle files of finished jobs.
 
     Its cleaner does so once the driver's collector has found their plans
-    unreachable, and an idle driver may not collect for half an hour.
+    unreachable, and an idle driver may not collect for half an hour.  The
+    listeners hold the plan of the query that ended last, so an empty one ends here.
     """
+    spark.range(0).collect()
     gc.collect()
     spark._jvm.System.gc()
 
