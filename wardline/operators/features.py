@@ -11,7 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions.values import MAX_AGE, MAX_SEVERITY
+from wardline.operators.ranking import dense_index
+from wardline.operators.text import sparse_rows
 from wardline.operators.timeline import filter_on_hours
+from wardline.session import scratch_path
 
 # fixed feature names and order of the baseline model
 BASELINE_FEATURES = ["patient_age", "patient_sex", "saps_score"]
@@ -107,3 +110,40 @@ def labelled_points(features: DataFrame, labels: DataFrame, entity: str = "pid",
     return (features.join(labels.select(entity, label), entity)
             .select(entity, F.col(label).cast("double").alias("label"),
                     array_to_vector("features").alias("features")))
+
+
+def feature_index(long: DataFrame) -> DataFrame:
+    """(feature, index) of every lower-cased name found, by name; learned, so none need be given."""
+    names = long.select(F.lower("feature").alias("feature")).where("feature is not null").distinct()
+    return dense_index(names, ["feature"])
+
+
+def sparse_features(long: DataFrame, index: DataFrame, entity: str = "pid") -> DataFrame:
+    """(entity, indices, values) over a learned index, without a pivot.
+
+    Absent features are simply not listed, and so are names that the index
+    lacks (those only the test rows have) and null values; an entity without
+    any feature has no row.  Of repeated rows the smallest value counts.
+    """
+    one = (long.select(entity, F.lower("feature").alias("feature"), "value").where("value is not null")
+           .groupBy(entity, "feature").agg(F.min("value").alias("value")))
+    return sparse_rows(one.join(index, "feature"), [entity])
+
+
+def sparse_points(rows: DataFrame, labels: DataFrame, size: int, entity: str = "pid", label: str = "label") -> DataFrame:
+    """(entity, label double, features sparse vector of ``size``) for pyspark.ml.
+
+    A vector column is a struct in Parquet: the points are written as such, which
+    every fit that reads them several times needs anyway, and read as vectors,
+    so no Python function builds them.
+    """
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql.types import DoubleType, StructField, StructType
+
+    vector = F.struct(F.lit(0).cast("byte").alias("type"), F.lit(size).alias("size"), "indices", "values")
+    points = (rows.join(labels.select(entity, label), entity)
+              .select(entity, F.col(label).cast("double").alias("label"), vector.alias("features")))
+    path = scratch_path(rows.sparkSession, "points")
+    points.write.parquet(path)
+    schema = StructType([points.schema[entity], StructField("label", DoubleType()), StructField("features", VectorUDT())])
+    return rows.sparkSession.read.schema(schema).parquet(path)

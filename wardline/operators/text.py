@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions.text import tokenize
+from wardline.operators.ranking import dense_index
 
 
 def tokenize_notes(notes: DataFrame, stopwords=None, text: str = "text",
@@ -68,3 +69,28 @@ def term_stats(tokens: DataFrame, doc: str = "note_id", col: str = "tokens") ->
     per_doc = (_terms(tokens, doc, col=col)
                .groupBy("term", doc).agg(F.count(F.lit(1)).alias("c")))
     return per_doc.groupBy("term").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("df"))
+
+
+def vocabulary_index(tokens: DataFrame, col: str = "tokens", min_count: int = 1) -> DataFrame:
+    """(term, n, index), 0-based from the most frequent term; equal counts by term.
+
+    ``min_count`` is the only way to leave terms out.
+    """
+    counts = vocabulary_counts(tokens, col).where(F.col("n") >= min_count)
+    return dense_index(counts, [F.col("n").desc(), "term"])
+
+
+def sparse_rows(long: DataFrame, keys: list[str], index: str = "index", value: str = "value") -> DataFrame:
+    """(keys, indices array<int> ascending, values array<double>) from one row per (keys, index)."""
+    entries = F.sort_array(F.collect_list(F.struct(F.col(index).cast("int").alias("i"), F.col(value).cast("double").alias("v"))))
+    return (long.groupBy(*keys).agg(entries.alias("_e"))
+            .select(*keys, F.col("_e.i").alias("indices"), F.col("_e.v").alias("values")))
+
+
+def sparse_terms(tokens: DataFrame, vocabulary: DataFrame, doc: str = "note_id", col: str = "tokens") -> DataFrame:
+    """P18 + P19: (doc, indices, values) with the counts of a document's terms at their places in ``vocabulary``.
+
+    Terms that the vocabulary lacks are left out; a document without any other has no row.
+    """
+    counts = term_frequency(tokens, doc, col).join(vocabulary.select("term", "index"), "term")
+    return sparse_rows(counts, [doc], value="count")
