@@ -11,16 +11,18 @@ from pyspark.sql import functions as F
 from wardline.operators.cohort import adult_cohort, death_labels, labels_for, with_death_labels
 from wardline.operators.features import (
     baseline_array, baseline_array_at_hours, baseline_long, combine_features,
-    comorbidity_features, labelled_points, mean_vector, pivot_features,
+    comorbidity_features, feature_index, labelled_points, mean_vector, pivot_features, sparse_features,
 )
 from wardline.operators.metrics import (
     attrition_counts, auc_midrank, best_by_mean, binary_metrics, confusion_counts,
 )
 from wardline.operators.sampling import kfold, rebalance, split_exact, split_hash
+from wardline.operators.text import term_frequency
 from wardline.operators.timeline import entities_at_hours, notes_in_stay
 from wardline.plans.catalog import add_cte, register
 from wardline.plans.pipelines import FIXED_WEIGHTS, fixed_linear_score, hour_sweep
 from wardline.plans.queries_text import HOURS, SW, timeline
+from wardline.session import written
 from wardline.sources.testdata import load_views
 
 W = FIXED_WEIGHTS
@@ -118,6 +120,32 @@ def q_feature_label_points(spark, sf_dir):
     return pts.select("pid", "label", F.posexplode(vector_to_array("features")).alias("pos", "value"))
 
 
+# Every term of an entity's notes is a feature; the names are learned
+add_cte("term_feature_v", """
+    SELECT t.pid, t.term AS feature, COUNT(*) AS value FROM (SELECT pid, UNNEST(tokens) AS term FROM tokens_v) t
+    GROUP BY t.pid, t.term""")
+
+
+@register("sparse_label_points", """
+    WITH places AS (SELECT feature, ROW_NUMBER() OVER (ORDER BY feature) - 1 AS i, COUNT(*) OVER () AS size
+                    FROM (SELECT DISTINCT feature FROM term_feature_v))
+    SELECT f.pid, CAST(l.label_in_stay AS DOUBLE) AS label, MAX(p.size) AS size,
+           string_agg(CAST(p.i AS VARCHAR), ' ' ORDER BY p.i) AS indices,
+           string_agg(CAST(f.value AS VARCHAR), ' ' ORDER BY p.i) AS counts
+    FROM term_feature_v f JOIN places p USING (feature) JOIN labels_v l ON f.pid = l.pid GROUP BY f.pid, l.label_in_stay""")
+def q_sparse_label_points(spark, sf_dir):
+    tl = timeline(spark, sf_dir, materialize=False)[2]
+    counts = term_frequency(tl.tokens, "pid").withColumnsRenamed({"term": "feature", "count": "value"})
+    long = written(counts, "features")
+    index = feature_index(long)
+    size = index.agg(F.count(F.lit(1)).alias("n")).scalar()
+    labels = labels_for(_base(spark, sf_dir)[1], "in_stay")
+    return (sparse_features(long, index).join(labels, "pid")
+            .select("pid", F.col("label").cast("double").alias("label"), size.alias("size"),
+                    F.array_join("indices", " ").alias("indices"),
+                    F.array_join(F.transform("values", lambda v: v.cast("long")), " ").alias("counts")))
+
+
 @register("mean_feature_vector", """
     SELECT pid, pos, ROUND(AVG(value), 9) AS value FROM (
       SELECT n.pid, UNNEST(generate_series(0, 2)) AS pos,

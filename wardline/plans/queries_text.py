@@ -6,10 +6,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wardline.functions.text import BASIC_STOPWORDS
-from wardline.operators.ranking import bucketed_row_number
+from wardline.operators.ranking import dense_index
 from wardline.operators.text import (
-    lower_split_size, term_frequency, term_stats,
-    tokenize_notes, vocabulary_counts,
+    lower_split_size, sparse_terms, term_frequency, term_stats,
+    tokenize_notes, vocabulary_counts, vocabulary_index,
 )
 from wardline.operators.timeline import (
     entities_at_hours, events_at_hours, filter_notes, first_event, notes_in_stay, process_notes,
@@ -17,7 +17,7 @@ from wardline.operators.timeline import (
 from wardline.plans.catalog import add_cte, register
 from wardline.plans.oracle_text import tokens_sql
 from wardline.plans.queries_cohort import cohort
-from wardline.session import scratch_path
+from wardline.session import scratch_path, written
 from wardline.sources.csv import read_stopwords
 from wardline.sources.testdata import (
     conversation_notes_view, load_views, notes_view, read_table,
@@ -200,9 +200,37 @@ def q_doc_term_freq(spark, sf_dir):
 @register("doc_index", """
     SELECT note_id, ROW_NUMBER() OVER (ORDER BY note_id) - 1 AS doc_index FROM notes_f_v""")
 def q_doc_index(spark, sf_dir):
-    notes = _notes(spark, sf_dir).select("note_id").withColumn("_b", F.floor(F.col("note_id") / 4096))
-    ranked = bucketed_row_number(notes, ["note_id"], "_b", name="_rn")
-    return ranked.select("note_id", (F.col("_rn") - 1).alias("doc_index"))
+    return dense_index(_notes(spark, sf_dir).select("note_id"), ["note_id"], "doc_index")
+
+
+# Places of the vocabulary, most frequent term first; P19: term counts of a document at these places
+add_cte("corpus_terms_v", f"SELECT doc_id, UNNEST({tokens_sql('text', SW)}) AS term FROM documents")
+add_cte("places_v", """
+    SELECT term, n, ROW_NUMBER() OVER (ORDER BY n DESC, term) - 1 AS place
+    FROM (SELECT term, COUNT(*) AS n FROM corpus_terms_v GROUP BY term)""")
+
+
+def _corpus_tokens(spark, sf_dir):
+    docs = tokenize_notes(read_table(spark, sf_dir, "documents").select("doc_id", "text"), SW)
+    return written(docs, "tokens")          # the vocabulary and the rows both read them
+
+
+@register("vocabulary_index", "SELECT term, n, place FROM places_v")
+def q_vocabulary_index(spark, sf_dir):
+    docs = tokenize_notes(read_table(spark, sf_dir, "documents").select("text"), SW)
+    return vocabulary_index(docs).withColumnRenamed("index", "place")
+
+
+@register("doc_sparse_terms", """
+    SELECT doc_id, string_agg(CAST(place AS VARCHAR), ' ' ORDER BY place) AS indices,
+           string_agg(CAST(c AS VARCHAR), ' ' ORDER BY place) AS counts
+    FROM (SELECT doc_id, term, COUNT(*) AS c FROM corpus_terms_v GROUP BY doc_id, term) JOIN places_v USING (term)
+    GROUP BY doc_id""")
+def q_doc_sparse_terms(spark, sf_dir):
+    tokens = _corpus_tokens(spark, sf_dir)
+    rows = sparse_terms(tokens, vocabulary_index(tokens), doc="doc_id")
+    return rows.select("doc_id", F.array_join("indices", " ").alias("indices"),
+                       F.array_join(F.transform("values", lambda v: v.cast("long")), " ").alias("counts"))
 
 
 # second text source: conversations (entity = conversation, turn = 6 hours)
