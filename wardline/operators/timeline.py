@@ -90,6 +90,18 @@ def events_before_hours(events: DataFrame, first: DataFrame, hours: int,
             .where(F.col(ts) < add_hours(F.col("first_ts"), hours)).drop("first_ts"))
 
 
+def first_hour(events: DataFrame, first: DataFrame, hours, entity: str = "pid", ts: str = "chart_ts") -> DataFrame:
+    """F8 as one column: ``first_hr``, the smallest of the offsets the event counts at (null: at none).
+
+    What counts at an offset above 0 is then ``first_hr <= offset``: a filter
+    that reaches the scan of a written table, and one pass for all offsets.
+    """
+    axis = F.array(*[F.lit(int(h)) for h in sorted(hours) if h > 0])
+    keep = F.filter(axis, lambda h: F.col(ts) < add_hours(F.col("first_ts"), h))
+    return (events.join(first.select(entity, "first_ts"), entity)
+            .withColumn("first_hr", F.array_min(keep)).drop("first_ts"))
+
+
 def entities_at_hours(cohort: DataFrame, first: DataFrame, hours, entity: str = "pid") -> DataFrame:
     """F5 for several offsets at once: the cohort rows with an ``hours`` column.
 

@@ -73,7 +73,7 @@ from wardline.operators.classify import DERIVED_GRID, BASELINE_GRID, fit_linear_
 from wardline.operators.features import (  # noqa: E402
     baseline_long, combine_features, comorbidity_features, labelled_points, long_to_array,
 )
-from wardline.operators.timeline import events_before_hours  # noqa: E402
+from wardline.operators.timeline import first_hour  # noqa: E402
 from wardline.operators.topics import fit_topics, topic_features  # noqa: E402
 from wardline.session import cut_lineage  # noqa: E402
 
@@ -168,14 +168,15 @@ def run_time_varying_topics(train: DataFrame, test: DataFrame, labels: DataFrame
     model, so topic i means the same in both) -> SVM -> one report row.
 
     A fit per hour is inherent; the token table they all read is written
-    once to the shared folder so each fit starts from it.
+    once to the shared folder, each note with the first hour it counts at.
     """
-    toks = cut_lineage(tokens.join(first_note.select(entity, "first_ts"), entity)
-                       .select(entity, "chart_ts", "tokens", "first_ts"))
     lo, hi, step = hours
+    note = ["note_id"] if "note_id" in tokens.columns else []
+    toks = cut_lineage(first_hour(tokens.select(entity, *note, "chart_ts", "tokens"), first_note, range(lo, hi + 1, step), entity)
+                       .drop("chart_ts"))
 
     def one_hour(hr: int) -> DataFrame:
-        cut = events_before_hours(toks.drop("first_ts"), first_note, hr, entity)
+        cut = (toks if hr <= 0 else toks.where(F.col("first_hr") <= hr)).drop("first_hr")
         tr_tok = cut.join(train.select(entity), entity, "left_semi")
         tm = fit_topics(tr_tok, k, lda_iter, vocab_size=vocab_size, optimizer=optimizer)
         feats = cut_lineage(topic_features(tm, cut, entity))

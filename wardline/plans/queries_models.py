@@ -63,6 +63,21 @@ def q_lda_top_terms(spark, sf_dir):
     return top_terms(fit_topics(p.timeline.tokens, k=50, max_iter=LDA_ITER), 10)
 
 
+@register("lda_table_top_terms")
+def q_lda_table_top_terms(spark, sf_dir):
+    _, p = _prep(spark, sf_dir)
+    return top_terms(fit_topics(p.timeline.tokens, k=50, max_iter=LDA_ITER, optimizer="tables"), 10)
+
+
+# the fitted counts of a note's topics add up to its tokens, whatever the fit
+@register("lda_table_note_mass", "SELECT note_id, len(tokens) AS mass FROM tokens_v WHERE len(tokens) > 0")
+def q_lda_table_note_mass(spark, sf_dir):
+    _, p = _prep(spark, sf_dir)
+    model = fit_topics(p.timeline.tokens, k=50, max_iter=LDA_ITER, optimizer="tables")
+    total = F.aggregate("v", F.lit(0.0), lambda a, x: a + x)
+    return model.documents.select(F.col("id").alias("note_id"), F.round(total, 6).cast("long").alias("mass"))
+
+
 @register("report_baseline_train")
 def q_report_baseline_train(spark, sf_dir):
     t, p = _prep(spark, sf_dir)
@@ -171,19 +186,15 @@ def q_report_derived_counts(spark, sf_dir):
 
 @register("report_retrospective_counts", RETRO_SQL)
 def q_report_retrospective_counts(spark, sf_dir):
-    _, p = _prep(spark, sf_dir)
-    return run_retrospective_topics(p.train_balanced, p.test, p.timeline.tokens, p.labels, k=5, lda_iter=1).rows.select(PAIR)
+    return q_report_retrospective_topics(spark, sf_dir).select(PAIR)
 
 
-FEW_HOURS = (12, 132, 60)
+VARYING_HOURS = range(12, 241, 12)
 
 
-@register("report_time_varying_counts", _varying_sql(range(12, 133, 60)))
+@register("report_time_varying_counts", _varying_sql(VARYING_HOURS))
 def q_report_time_varying_counts(spark, sf_dir):
-    _, p = _prep(spark, sf_dir)
-    tl = p.timeline
-    return run_time_varying_topics(p.train, p.test, p.labels, tl.first_note, tl.tokens, hours=FEW_HOURS, k=5,
-                                   lda_iter=1).rows.select("hr", *PAIR)
+    return q_report_time_varying(spark, sf_dir).select("hr", *PAIR)
 
 
 # The whole run; every report's deterministic columns in one table (-1 where a report has none)
@@ -194,10 +205,10 @@ def q_report_time_varying_counts(spark, sf_dir):
     UNION ALL SELECT 'derived', -1, total, pos, test_total, test_pos FROM ({DERIVED_SQL})
     UNION ALL SELECT 'retrospective_topics', -1, total, pos, test_total, test_pos FROM ({RETRO_SQL})
     UNION ALL SELECT 'time_varying_topics', hr, total, pos, test_total, test_pos
-    FROM ({_varying_sql(range(12, 133, 60))})""")
+    FROM ({_varying_sql(VARYING_HOURS)})""")
 def q_run_all_counts(spark, sf_dir):
     t = load_views(spark, sf_dir)
-    reports = run_all(t.patients, t.stays, t.notes, t.scores, t.flags, SW, k=5, lda_iter=1, hours=FEW_HOURS)
+    reports = run_all(t.patients, t.stays, t.notes, t.scores, t.flags, SW)
     out = None
     for name, rows in reports.items():
         have = {"pos": next((c for c in ("pos", "positives", "num_positives") if c in rows.columns))}
