@@ -119,6 +119,17 @@ def test_fold_in_separates_groups(spark):
     assert len({int(np.argmax(v)) for v in got.values()}) == 3 and min(max(v) for v in got.values()) > 0.8
 
 
+def test_solvers_of_fit_topics(spark):
+    from wardline.operators.topics import fit_topics, note_topics, top_terms
+
+    tokens = frame(spark, made_tokens(12))
+    for optimizer in ("tables", "em"):
+        model = fit_topics(tokens, 2, 3, optimizer=optimizer)
+        assert top_terms(model, 4).count() == 8
+        got = note_topics(model, tokens).collect()
+        assert len(got) == 13 and all(abs(sum(r.topics) - 1) < 1e-9 for r in got)
+
+
 def test_empty_model(spark):
     model = fit_topic_tables(frame(spark, [(1, []), (2, None)]), 2, 2)
     assert model.size == 0 and table_top_terms(model).count() == 0 and fitted_topics(model).count() == 0

@@ -23,6 +23,7 @@ from wardline.sources.testdata import load_views
 
 
 LDA_ITER = 50
+TABLE_PASSES = 10       # of the model of tables: a pass is a few jobs
 
 
 def _prep(spark, sf_dir):
@@ -66,14 +67,14 @@ def q_lda_top_terms(spark, sf_dir):
 @register("lda_table_top_terms")
 def q_lda_table_top_terms(spark, sf_dir):
     _, p = _prep(spark, sf_dir)
-    return top_terms(fit_topics(p.timeline.tokens, k=50, max_iter=LDA_ITER, optimizer="tables"), 10)
+    return top_terms(fit_topics(p.timeline.tokens, k=50, max_iter=TABLE_PASSES, optimizer="tables"), 10)
 
 
 # the fitted counts of a note's topics add up to its tokens, whatever the fit
 @register("lda_table_note_mass", "SELECT note_id, len(tokens) AS mass FROM tokens_v WHERE len(tokens) > 0")
 def q_lda_table_note_mass(spark, sf_dir):
     _, p = _prep(spark, sf_dir)
-    model = fit_topics(p.timeline.tokens, k=50, max_iter=LDA_ITER, optimizer="tables")
+    model = fit_topics(p.timeline.tokens, k=50, max_iter=TABLE_PASSES, optimizer="tables")
     total = F.aggregate("v", F.lit(0.0), lambda a, x: a + x)
     return model.documents.select(F.col("id").alias("note_id"), F.round(total, 6).cast("long").alias("mass"))
 
