@@ -14,7 +14,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
 
 
-def brute_quality(rows, min_docs, share, max_words, keep):
+def brute_quality(rows, min_docs, share, keep):
     held, hosts = defaultdict(set), defaultdict(set)
     lines = {}
     for k, (_, t, host) in enumerate(rows):
@@ -22,7 +22,7 @@ def brute_quality(rows, min_docs, share, max_words, keep):
         hosts[host].add(t)
         lines[k] = [(x, WORD.findall(re.sub("[0-9]", "0", x.translate(LOWER)))) for x in t.split("\n")]
         for _, w in lines[k]:
-            if 0 < len(w) <= max_words:
+            if w:
                 held[host, " ".join(w)].add(t)
     over = {k for k, v in held.items() if len(v) > min_docs and len(v) > share * len(hosts[k[0]])}
     out = []
@@ -61,18 +61,18 @@ def quality_rows(seed):
 
 def test_quality_against_brute_force(make_docs):
     rows = quality_rows(5)
-    want = brute_quality(rows, 5, 0.02, 12, 90)
-    got = line_quality.judge(make_docs(rows), min_docs=5, share=0.02, max_line_words=12, keep_percent=90).collect()
+    want = brute_quality(rows, 5, 0.02, 90)
+    got = line_quality.judge(make_docs(rows), min_docs=5, share=0.02, keep_percent=90).collect()
     assert sorted((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.n_removed_words,
                    r.base_failed, r.kept) for r in got) == sorted(want)
     assert any(not w[7] and not w[8] for w in want) and all(w[8] for w in want if w[0] >= 300)
 
 
-def test_quality_limit_is_of_one_line(make_docs):
+def test_quality_repeated_short_line(make_docs):
     # a ten-word line: six times (60 words) in every third document, which hold and lose it like the others
     menu = "home about news shop help jobs press terms privacy contact"
     rows = [(i, "\n".join([menu] * (6 if i % 3 == 0 else 1) + [" ".join(f"w{i}x{k}" for k in range(24))]), "h") for i in range(15)]
-    want = brute_quality(rows, 10, 0.01, 40, 30)
+    want = brute_quality(rows, 10, 0.01, 30)
     got = {r.doc_id: (r.n_removed_words, r.base_failed, r.kept) for r in line_quality.judge(make_docs(rows)).collect()}
     assert got == {w[0]: (w[6], w[7], w[8]) for w in want}
     assert got[0][0] == 60 and got[1][0] == 10
@@ -80,13 +80,26 @@ def test_quality_limit_is_of_one_line(make_docs):
     assert len(out) == 15 and not any("privacy" in r.text for r in out)
 
 
+def test_quality_long_lines_and_hosts(make_docs):
+    # a line of 45 words in 300 documents of a host goes; the same id and text under another host keeps it
+    notice = " ".join(f"n{i}" for i in range(45))
+    own = [f"w{i}".translate(str.maketrans("0123456789", "abcdefghij")) for i in range(300)]    # digits count as equal
+    rows = [(i, notice + "\n" + " ".join(own[i] + own[k] for k in range(60)), "hA") for i in range(300)]
+    rows.append((5, rows[5][1], "hB"))
+    got = {(r.doc_id, r.host): (r.n_removed_words, r.kept) for r in line_quality.judge(make_docs(rows)).collect()}
+    assert got.pop((5, "hB")) == (0, True)
+    assert set(got.values()) == {(45, True)} and len(got) == 300
+    out = sorted((r.doc_id, r.source, "n44" in r.text) for r in line_quality.clean_documents(make_docs(rows)).collect())
+    assert out == sorted((i, h, h == "hB") for i, _, h in rows)
+
+
 def test_quality_removes_lines(make_docs):
     rows = quality_rows(6)
     docs = make_docs(rows, extra=True)
-    out = line_quality.clean_documents(docs, min_docs=5, share=0.02, max_line_words=12, keep_percent=90)
+    out = line_quality.clean_documents(docs, min_docs=5, share=0.02, keep_percent=90)
     assert out.columns == docs.columns
     got = {r.doc_id: (r.text, r.n_chars) for r in out.collect()}
-    want = {w[0] for w in brute_quality(rows, 5, 0.02, 12, 90) if w[8]}
+    want = {w[0] for w in brute_quality(rows, 5, 0.02, 90) if w[8]}
     assert set(got) == want
     text, n = got[201]
     assert "|" not in text and n == len(text) and len(WORD.findall(text)) == 40

@@ -2,16 +2,15 @@
 
 Every line with a word is normalised (A-Z as a-z, digits as 0, words joined by
 one space) and hashed.  For each host the distinct documents holding a line are
-counted; exact copies of a text count as one document.  A line of at most
-``max_line_words`` words is page furniture of its host when more than
-``max(min_docs, share * documents of the host)`` documents hold it (longer
-lines are passages, which the dedup operators judge).  Such lines are removed,
-and a document is depleted, and rejected, when under ``keep_percent`` of its
-words remain.  Two plain rules come first: at least ``min_words`` words, and at
+counted; exact copies of a text count as one document.  A line of any length
+is page furniture of its host when more than ``max(min_docs, share * documents
+of the host)`` documents hold it.  Such lines are removed, and a document is
+depleted, and rejected, when under ``keep_percent`` of its words remain.  Two plain rules come first: at least ``min_words`` words, and at
 most ``repeat_percent`` of the words in 8-word windows that the text repeats.
 
 Defined results: null text has no words and fails; a null host counts as the
-host ''; repeated rows are judged alike; an empty table gives an empty result;
+host ''; rows repeated with one id, text and host are judged alike, and rows of
+one id and text under several hosts by the furniture of each one's own host; an empty table gives an empty result;
 extra columns are kept by ``clean_documents`` and passed over otherwise.
 """
 
@@ -32,7 +31,7 @@ WINDOW = 8
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 PROFILE = ("doc_id long, host string, content long, n_words long, word_chars long, n_symbols long, "
-           "n_dup_lines long, n_repeat_words long, lines array<struct<line:long,words:int,length:int>>")
+           "n_dup_lines long, n_repeat_words long, lines array<struct<line:long,words:int>>")
 
 
 def _line_spans(b: K.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,14 +89,13 @@ def _profile(batches):
             _, first = np.unique(_in_doc(raw, doc), return_index=True)
             dup = np.bincount(doc, minlength=n) - np.bincount(doc[first], minlength=n)
             _, first, back = np.unique(_in_doc(norm, doc), return_index=True, return_inverse=True)
-            # of a distinct line: the words of all its occurrences, and (below) of one, its length
+            # of a distinct line: the words of all its occurrences
             total = np.bincount(back, weights=words, minlength=len(first)).astype(np.int32)
             order = np.argsort(doc[first], kind="stable")
             offsets = np.searchsorted(doc[first][order], np.arange(n + 1)).astype(np.int32)
             lines = pa.ListArray.from_arrays(
                 pa.array(offsets), pa.StructArray.from_arrays(
-                    [pa.array(K.signed(norm[first][order])), pa.array(total[order]),
-                     pa.array(words[first][order].astype(np.int32))], ["line", "words", "length"]))
+                    [pa.array(K.signed(norm[first][order])), pa.array(total[order])], ["line", "words"]))
             is_word = ~K.SPACE[b.data]
             yield K.batch(
                 ["doc_id", "host", "content", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -113,10 +111,9 @@ def _inputs(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> list:
             F.xxhash64(text).alias("content"), text.cast("binary").alias("text")]
 
 
-def furniture(profile: DataFrame, min_docs: int, share: float, max_line_words: int) -> DataFrame:
+def furniture(profile: DataFrame, min_docs: int, share: float) -> DataFrame:
     """(host, line): lines that too many distinct documents of a host hold."""
-    held = (profile.select("host", "content", F.explode("lines").alias("l"))
-            .where(F.col("l.length") <= max_line_words).select("host", F.col("l.line").alias("line"), "content"))
+    held = profile.select("host", "content", F.explode("lines.line").alias("line"))
     counts = (held.distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("docs"))
               .where(F.col("docs") > min_docs))
     hosts = profile.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("of"))
@@ -126,22 +123,21 @@ def furniture(profile: DataFrame, min_docs: int, share: float, max_line_words: i
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
           min_words: int = 20, repeat_percent: int = 30, min_docs: int = 10, share: float = 0.01,
-          max_line_words: int = 40, keep_percent: int = 30) -> DataFrame:
+          keep_percent: int = 30) -> DataFrame:
     """One row per input row: the measures, base_failed, n_removed_words, removed (line hashes or null), kept."""
     rows = docs.select(*_inputs(docs, id_col, text_col, host_col))
     profile = stored(rows.mapInArrow(_profile, PROFILE), "profile")
-    over = stored(furniture(profile, min_docs, share, max_line_words), "furniture")
-    key = ["doc_id", "content"]
-    lines = (profile.dropDuplicates(key).select(*key, "host", F.explode("lines").alias("l"))
-             .where(F.col("l.length") <= max_line_words)
-             .select(*key, "host", F.col("l.line").alias("line"), F.col("l.words").alias("words")))
+    over = stored(furniture(profile, min_docs, share), "furniture")
+    key = ["doc_id", "content", "host"]
+    lines = (profile.dropDuplicates(key).select(*key, F.explode("lines").alias("l"))
+             .select(*key, F.col("l.line").alias("line"), F.col("l.words").alias("words")))
     hit = (lines.join(over.hint("merge"), ["host", "line"]).groupBy(*key)
            .agg(F.sum("words").alias("n_removed_words"), F.sort_array(F.collect_list("line")).alias("removed"))
-           .withColumnsRenamed({"doc_id": "_id", "content": "_content"}))
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("content") == F.col("_content"))
+           .withColumnsRenamed({"doc_id": "_id", "content": "_content", "host": "_host"}))
+    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("content") == F.col("_content")) & (F.col("host") == F.col("_host"))
     gone = F.coalesce("n_removed_words", F.lit(0))
     base_failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
-    return (profile.drop("lines").join(stored(hit, "hit").hint("merge"), on, "left").drop("_id", "_content")
+    return (profile.drop("lines").join(stored(hit, "hit").hint("merge"), on, "left").drop("_id", "_content", "_host")
             .withColumn("n_removed_words", gone).withColumn("base_failed", base_failed)
             .withColumn("kept", ~F.col("base_failed")
                         & (100 * (F.col("n_words") - F.col("n_removed_words")) >= keep_percent * F.col("n_words"))))
@@ -172,11 +168,13 @@ def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     chars_col: str | None = "n_chars", **limits) -> DataFrame:
     """The kept documents, all columns, without the removed lines; ``chars_col`` (where present) follows the text."""
     verdict = (judge(docs, id_col, text_col, host_col, **limits).where("kept")
-               .select(F.col("doc_id").alias("_id"), F.col("content").alias("_content"), F.col("removed").alias("_gone"))
-               .dropDuplicates(["_id", "_content"]))
-    rows = packed(docs, _key=F.col(id_col).cast("long"), _text=F.col(text_col),
+               .select(F.col("doc_id").alias("_id"), F.col("content").alias("_content"), F.col("host").alias("_of"),
+                       F.col("removed").alias("_gone"))
+               .dropDuplicates(["_id", "_content", "_of"]))
+    rows = packed(docs, _key=F.col(id_col).cast("long"), _text=F.col(text_col), _host=F.coalesce(F.col(host_col), F.lit("")),
                   _hash=F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    out = rows.join(verdict.hint("merge"), F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_content")))
+    out = rows.join(verdict.hint("merge"), F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_content"))
+                    & (F.col("_host") == F.col("_of")))
     untouched = F.col("_gone").isNull()
     out = out.withColumn("_text", F.when(untouched, F.col("_text")).otherwise(
         _without(F.when(~untouched, F.col("_text")), "_gone")))

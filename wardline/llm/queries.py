@@ -56,10 +56,10 @@ raw AS (SELECT doc_id, host, t, unnest(string_split(t, chr(10))) AS line FROM d)
 lines AS (SELECT *, {WORDS.format("regexp_replace(" + LOWER.format("line") + ", '[0-9]', '0', 'g')")} AS lw FROM raw),
 full_lines AS (SELECT *, array_to_string(lw, ' ') AS norm FROM lines WHERE len(lw) > 0),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM full_lines GROUP BY doc_id),
-held AS (SELECT host, norm, count(DISTINCT t) AS docs FROM full_lines WHERE len(lw) <= 40 GROUP BY 1, 2),
+held AS (SELECT host, norm, count(DISTINCT t) AS docs FROM full_lines GROUP BY 1, 2),
 hosts AS (SELECT host, count(DISTINCT t) AS total FROM d GROUP BY 1),
 over AS (SELECT host, norm FROM held JOIN hosts USING (host) WHERE docs > 10 AND docs > total * 0.01::DOUBLE),
-gone AS (SELECT doc_id, sum(len(lw))::BIGINT AS n FROM full_lines JOIN over USING (host, norm) WHERE len(lw) <= 40 GROUP BY 1),
+gone AS (SELECT doc_id, sum(len(lw))::BIGINT AS n FROM full_lines JOIN over USING (host, norm) GROUP BY 1),
 judged AS (
 SELECT w.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
        len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines,
