@@ -88,7 +88,7 @@ def near_rows(seed, families=14, copies=12):
     return rows
 
 
-@pytest.mark.parametrize("seed", [3])
+@pytest.mark.parametrize("seed", [3, 8])
 def test_near_against_brute_force(make_docs, seed):
     rows = near_rows(seed)
     want = brute_near(rows)
@@ -97,6 +97,44 @@ def test_near_against_brute_force(make_docs, seed):
     assert all(r.kept == (i == want[i][1]) for i, r in got.items())
 
 
+def family(seed, n):
+    """One group of near copies: a text of 40 words with one or two words changed."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(40)]
+    rows = []
+    for i in range(n):
+        t = list(base)
+        for k in range(rng.randint(1, 2)):
+            t[rng.randrange(40)] = f"e{i}x{k}"
+        rows.append((i, " ".join(t)))
+    return rows
+
+
+def test_near_pairs_are_linear_in_a_group(make_docs, monkeypatch):
+    """Four times a group of near copies proposes at most five times the pairs, and no link is lost."""
+    made = []
+    real = near._confirmed
+    monkeypatch.setattr(near, "_confirmed", lambda pairs, *a: made.append(pairs.count()) or real(pairs, *a))
+    totals = []
+    for n in (250, 1000):
+        rows, start = family(n, n), len(made)
+        got = {r.doc_id: r.component_id for r in near.near_duplicates(make_docs(rows)).collect()}
+        assert got == {i: c for i, (_, c) in brute_near(rows).items()}
+        totals.append(sum(made[start:]))
+    assert totals[1] <= 5 * totals[0], made
+
+
+def test_parity_sketch_never_overstates():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    for n in (1, 40, 400, 4000):
+        a = rng.integers(0, 2**64, n, np.uint64)
+        b = np.concatenate((a[: n // 2], rng.integers(0, 2**64, n // 3, np.uint64)))
+        differ = sum(int(x).bit_count() for x in (near._parity(a) ^ near._parity(b)).view(np.uint64))
+        assert differ <= len(np.setxor1d(a, b)) and near._parity(a).shape == (near.PARITY,)
+
+
 def test_near_odd_rows(make_docs):
     got = near.near_duplicates(make_docs(ODD_ROWS, extra=True)).collect()
     assert len(got) == len(ODD_ROWS)

@@ -6,12 +6,15 @@
    shingles.  Classes that agree on all values of a band share a bucket.
 3. *Stars*: each bucket proposes (centre, member) pairs, with few different
    centres per bucket group, so a bucket of any size costs its own size.
-   Buckets whose members are then all connected need nothing more.
+   Buckets whose members are then all connected need nothing more.  Members
+   of larger ones get stars in finer buckets too (several bands joined), where
+   most pairs are links, so that a family of near copies grows together.
 4. Buckets that still hold several components propose every pair of classes
    of different components.  Buckets with more than ``FINE`` classes (texts
    around a passage that many share) do so by rare shingles instead, an exact
    way without a cap: of two sets with the wanted similarity, one's rarest
-   shingles must hold one of the other's (see ``_rare_pairs``).
+   shingles must hold one of the other's, and their difference must be small
+   enough in a parity sketch, which never overstates it (see ``_rare_pairs``).
 5. Each proposed pair is compared in batches of ``BATCH`` signature values.
    With m of n values equal, P(similarity >= threshold) under a uniform prior
    is P(Binomial(n + 1, threshold) <= m); a pair is pruned as soon as that
@@ -50,6 +53,8 @@ MISS = 1e-6
 CENTRES = 6          # different centre orders over the bands
 STAR_ROUNDS = 2
 FINE = 16            # larger buckets propose pairs by rare shingles
+JOINED = (2, 4)      # bands of a finer bucket, one star round for each
+PARITY = 8           # 64-bit words of a parity sketch
 CELLS = 1 << 20      # cells of the table of shingle frequencies; any content gives a valid order
 
 _rng = np.random.default_rng(5)
@@ -102,17 +107,23 @@ def _sign(batches):
                            pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())])
 
 
-def _bands(batches):
-    for rb in batches:
-        n = rb.num_rows
-        if n == 0:
-            continue
-        sig = np.frombuffer(b"".join(rb.column(1).to_pylist()), np.uint16).reshape(n, BANDS, ROWS)
-        key = np.ascontiguousarray(sig).view(np.uint64).reshape(n, BANDS)
-        key = K.mix(key + np.arange(1, BANDS + 1, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15))
-        yield K.batch(["id", "band", "bucket"],
-                      [pa.array(np.repeat(rb.column(0).to_numpy(), BANDS)),
-                       np.tile(np.arange(BANDS, dtype=np.int32), n), K.signed(key.ravel())])
+def _bands(joined: int = 1):
+    """The buckets of every signature; ``joined``: each band with so many - 1 others, all of whose values must agree."""
+    def bands(batches):
+        for rb in batches:
+            n = rb.num_rows
+            if n == 0:
+                continue
+            sig = np.frombuffer(b"".join(rb.column(1).to_pylist()), np.uint16).reshape(n, BANDS, ROWS)
+            key = np.ascontiguousarray(sig).view(np.uint64).reshape(n, BANDS)
+            key = one = K.mix(key + np.arange(1, BANDS + 1, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15))
+            for k in range(1, joined):
+                key = K.mix(key + np.roll(one, -k * (joined + 1), axis=1))
+            yield K.batch(["id", "band", "bucket"],
+                          [pa.array(np.repeat(rb.column(0).to_numpy(), BANDS)),
+                           np.tile(np.arange(BANDS, dtype=np.int32), n), K.signed(key.ravel())])
+
+    return bands
 
 
 def least_matches(threshold: float, miss: float = MISS) -> dict[int, int]:
@@ -211,6 +222,13 @@ def _confirmed(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, percent: int
     return full.mapInArrow(_verifier(percent), "a long, b long")
 
 
+def _members(sigs: DataFrame, joined: int = 1) -> DataFrame:
+    """(bucket, id, band) of the buckets with several classes."""
+    keys = sigs.mapInArrow(_bands(joined), "id long, band int, bucket long")
+    shared = stored(keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
+    return keys.join(shared.select("bucket").hint("merge"), "bucket")
+
+
 def _unresolved(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Bucket members with their component, of buckets with several components."""
     named = (members.join(roots.withColumnRenamed("root", "comp").hint("merge"), "id", "left")
@@ -244,6 +262,16 @@ def _counter(batches):
     yield K.batch(["cell", "n"], [at, cells[at]])
 
 
+SKETCH = [f"p{i}" for i in range(PARITY)]
+
+
+def _parity(shingles: np.ndarray) -> np.ndarray:
+    """64 * PARITY bits: whether an odd number of the shingles fall on each."""
+    at = (shingles >> np.uint64(40)) % np.uint64(64 * PARITY)
+    odd = (np.bincount(at.astype(np.int64), minlength=64 * PARITY) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def _prefixer(frequency, percent: int):
     def prefixes(batches):
         table = frequency.value
@@ -257,8 +285,9 @@ def _prefixer(frequency, percent: int):
                     long = n - -(-percent * n // 100) + 1
                     short = n - -(-2 * percent * n // (100 + percent)) + 1
                     at = np.arange(long)
-                    out.append((np.full(long, i), K.signed(s[order[:long]]), np.full(long, n), n - at, at < short))
-                yield K.batch(["id", "shingle", "n", "rest", "short"], [np.concatenate(c) for c in zip(*out)])
+                    out.append((np.full(long, i), K.signed(s[order[:long]]), np.full(long, n), n - at, at < short,
+                                *[np.full(long, x) for x in _parity(s)]))
+                yield K.batch(["id", "shingle", "n", "rest", "short", *SKETCH], [np.concatenate(c) for c in zip(*out)])
 
     return prefixes
 
@@ -270,7 +299,9 @@ def _rare_pairs(texts: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     smaller of size n and the larger of size m, share one of the first
     n - ceil(2 t n / (1 + t)) + 1 and of the first m - ceil(t m) + 1.  The order
     is by frequency (in a table of ``CELLS`` cells), so what many documents
-    share comes last and seldom counts.
+    share comes last and seldom counts.  Such sets also differ in at most
+    (1 - t) / (1 + t) * (n + m) shingles; the bits in which their parity
+    sketches differ are never more than that, so no pair is lost by the test.
     """
     spark = texts.sparkSession
     counts = (texts.select("text").mapInArrow(_counter, "cell long, n long").groupBy("cell")
@@ -279,17 +310,21 @@ def _rare_pairs(texts: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     table[counts["cell"].to_numpy(np.int64)] = counts["n"].to_numpy(np.int64)
     frequency = spark.sparkContext.broadcast(table)
     rows = stored(texts.select("id", "text").mapInArrow(_prefixer(frequency, percent),
-                                                        "id long, shingle long, n long, rest long, short boolean")
+                                                        "id long, shingle long, n long, rest long, short boolean, "
+                                                        + ", ".join(f"{p} long" for p in SKETCH))
                   .join(comps.hint("merge"), "id"), "prefixes")
     open_ = stored(rows.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                    .where("lo < hi").select("shingle"), "open")
     rows = stored(rows.join(open_.hint("merge"), "shingle"), "rare")
     x, y = (rows.where("short" if v == "x" else "true").select(
-        "shingle", F.col("id").alias(v), *[F.col(c).alias(c[0] + v) for c in ("n", "comp", "rest")]) for v in "xy")
+        "shingle", F.col("id").alias(v), *[F.col(c).alias(c[0] + v) for c in ("n", "comp", "rest")],
+        *[F.col(p).alias(p + v) for p in SKETCH]) for v in "xy")
+    differ = sum(F.bit_count(F.col(p + "x").bitwiseXOR(F.col(p + "y"))) for p in SKETCH)
     near = x.join(y.hint("merge"), "shingle").where(
         (F.col("cx") != F.col("cy")) & (100 * F.col("nx") >= percent * F.col("ny"))
         # at the first common shingle what follows must still hold the wanted intersection
         & ((100 + percent) * F.least("rx", "ry") >= percent * (F.col("nx") + F.col("ny")))
+        & ((100 + percent) * differ <= (100 - percent) * (F.col("nx") + F.col("ny")))
         & ((F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))))
     return near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
@@ -305,9 +340,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     heads = classes.select(F.col("cid").alias("id"), "key")
     sigs = stored(signed.where("n > 0").join(heads.hint("merge"), ["id", "key"], "left_semi").dropDuplicates(["id"])
                   .select("id", "sig"), "heads")
-    keys = sigs.mapInArrow(_bands, "id long, band int, bucket long")
-    shared = stored(keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
-    members = stored(keys.join(shared.select("bucket").hint("merge"), "bucket"), "members")
+    members = stored(_members(sigs), "members")
     wanted = members.select("id").distinct()
     sigs = stored(sigs.join(wanted.hint("merge"), "id"), "candidates")
     texts = stored(source.join(wanted.hint("merge"), "id").dropDuplicates(["id"]), "texts")
@@ -317,8 +350,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for round_no in range(STAR_ROUNDS):
         roots = components(_confirmed(_star_pairs(open_, round_no), sigs, texts, percent, miss), roots)
         open_ = _unresolved(members, roots)
-    large = open_.where(F.col("size") > fine)
-    comps = stored(large.select("id", "comp").distinct(), "large")
+    crowd = stored(open_.where(F.col("size") > fine).select("id").distinct(), "crowd")
+    crowd_sigs = stored(sigs.join(crowd.hint("merge"), "id"), "crowd_signatures")
+    for joined in JOINED:
+        finer = _unresolved(_members(crowd_sigs, joined), roots)
+        roots = components(_confirmed(_star_pairs(finer, joined), sigs, texts, percent, miss), roots)
+    open_ = _unresolved(members, roots)
+    comps = stored(open_.where(F.col("size") > fine).select("id", "comp").distinct(), "large")
     pairs = (_bucket_pairs(open_.where(F.col("size") <= fine))
              .unionByName(_rare_pairs(stored(texts.join(comps.select("id").hint("merge"), "id"), "texts"), comps, percent)))
     roots = components(_confirmed(pairs.distinct(), sigs, texts, percent, miss), roots)
