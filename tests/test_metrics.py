@@ -78,3 +78,32 @@ def test_null_groups_are_kept(spark):
     df = spark.createDataFrame([(0.1, 1, None), (0.2, 0, None), (0.3, 1, "a"), (0.1, 0, "a")],
                                "score double, label int, g string")
     assert {r.g: r.auc for r in auc_midrank(df, by=["g"]).collect()} == {None: 0.0, "a": 1.0}
+
+
+def test_auc_of_a_group_with_most_rows_is_split(spark):
+    """A group with most scores is dealt to many ranges, and the lineage is read once."""
+    rnd = random.Random(7)
+    rows = [("hot", rnd.random(), rnd.randint(0, 1)) for _ in range(4000)]
+    rows += [(f"g{i}", rnd.random(), rnd.randint(0, 1)) for i in range(20) for _ in range(30)]
+    df = spark.createDataFrame(rows, "g string, score double, label int")
+    res = auc_midrank(df, by=["g"], buckets=8)
+    got = {r.g: r.auc for r in res.collect()}
+    for g in ("hot", "g0", "g7"):
+        assert got[g] == pytest.approx(brute_auc([(s, y) for k, s, y in rows if k == g]), abs=1e-12)
+    ranges = df.groupBy("g", "score").count().repartitionByRange(8, "g", "score").withColumn("part", F.spark_partition_id())
+    assert ranges.where("g = 'hot'").select("part").distinct().count() >= 5
+    assert res._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
+def test_binary_metrics_reads_its_rows_once(spark):
+    from wardline.operators.metrics import binary_metrics
+
+    rows = [(1, 0.9, 1), (1, 0.4, 1), (1, 0.4, 0), (1, -0.1, 0), (2, None, 1), (2, 0.2, 0), (2, 0.3, 1), (3, 0.3, 1)]
+    df = spark.createDataFrame(rows, "g int, score double, label int")
+    res = binary_metrics(df, by=["g"], threshold=0.3)
+    assert res._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    got = {r.g: r for r in res.collect()}
+    conf = {r.g: r for r in confusion_counts(df, by=["g"], threshold=0.3).collect()}
+    for g in got:
+        assert all(got[g][c] == conf[g][c] for c in ("total", "positives", "accuracy", "sensitivity", "specificity"))
+    assert got[1].auc == 0.875 and got[2].auc == 0.5 and got[3].auc is None

@@ -47,3 +47,35 @@ def test_null_keys_are_kept(spark):
     df = ids(spark, 50).unionByName(spark.createDataFrame([(None,)], "pid string"))
     rows = split_exact(df, 0.7, seed=3).collect()
     assert len(rows) == 51 and sum(r.is_train for r in rows) == int(51 * 0.7)
+
+
+def test_exact_split_equals_a_sort(spark):
+    from wardline.functions.values import hash_uniform
+
+    df = ids(spark, 777)
+    order = sorted((r.u, r.pid) for r in df.select("pid", hash_uniform(F.col("pid"), 9).alias("u")).collect())
+    for p in (0.0, 0.01, 0.5, 0.999, 1.0):
+        got = {r.pid for r in split_exact(df, p, seed=9).where("is_train = 1").collect()}
+        assert got == {pid for _, pid in order[:int(777 * p)]}
+    assert split_exact(df.limit(0)).count() == 0
+
+
+def test_ties_of_the_hash_go_by_key(spark, monkeypatch):
+    from wardline.operators import sampling
+
+    monkeypatch.setattr(sampling, "hash_uniform", lambda key, seed: F.lit(0.25))
+    df = ids(spark, 40)
+    got = {r.pid for r in split_exact(df, 0.5).where("is_train = 1").collect()}
+    assert got == set(sorted(str(i) for i in range(40))[:20])
+
+
+def test_rows_of_one_key_stay_together(spark):
+    df = spark.createDataFrame([("hot",)] * 30 + [(f"k{i}",) for i in range(60)], "pid string")
+    rows = split_exact(df, 0.7, seed=3).collect()
+    assert len({r.is_train for r in rows if r.pid == "hot"}) == 1
+    assert sum(r.is_train for r in rows) <= 63 and len(rows) == 90
+
+
+def test_split_plan_has_no_window(spark):
+    plan = split_exact(ids(spark, 100), 0.7)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan and "Exchange" not in plan

@@ -4,9 +4,8 @@ counts, grid selection (A9-A14, M14).
 The ROC area is the Mann-Whitney statistic with mid-ranks for tied scores:
 for positives p(s) and negatives q(s) at each distinct score s,
 ``AUC = sum_s p(s) * (negatives below s + q(s)/2) / (P * N)``.
-"Negatives below s" is a running sum over distinct scores, computed per
-quantile bucket of the score (see ``ranking``), so no evaluation is ever
-sorted in a single task.  Twice every summand is an integer; they are summed
+"Negatives below s" is a running sum over distinct scores, computed per range
+of (group, score), so no evaluation is ever sorted in a single task.  Twice every summand is an integer; they are summed
 as ``decimal(38, 0)`` and divided once, so the result does not depend on the
 order of summation.
 """
@@ -16,12 +15,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.operators.ranking import bucketed_running_sum
-
-COARSE = 16      # the bucket of a score is looked up among every COARSE-th bound first
+CONFUSION = ("tp", "fp", "tn", "fn")
 
 
 def confusion_counts(pred: DataFrame, score: str = "score", label: str = "label",
@@ -34,6 +31,10 @@ def confusion_counts(pred: DataFrame, score: str = "score", label: str = "label"
     ``mode='exact'``: the reference's rule - a row is "correct" iff the raw
     score equals the label (meaningless for raw margins, kept for parity).
     """
+    return _rates(pred.groupBy(*by).agg(*_confusion(score, label, threshold, mode)), by)
+
+
+def _confusion(score: str, label: str, threshold: float, mode: str) -> list:
     pos = F.col(label) > 0
     if mode == "exact":
         correct = F.col(score) == F.col(label)
@@ -44,14 +45,13 @@ def confusion_counts(pred: DataFrame, score: str = "score", label: str = "label"
         tp, fp, tn, fn = pp & pos, pp & ~pos, ~pp & ~pos, ~pp & pos
     else:
         raise ValueError("mode must be 'threshold' or 'exact'")
+    return [F.sum(c.cast("long")).alias(name) for c, name in zip((tp, fp, tn, fn), CONFUSION)]
 
-    def n(c):
-        return F.sum(c.cast("long")).alias
 
-    agg = pred.groupBy(*by).agg(n(tp)("tp"), n(fp)("fp"), n(tn)("tn"), n(fn)("fn"))
+def _rates(agg: DataFrame, by: Sequence[str], *more: str) -> DataFrame:
     total = F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")
     return agg.select(
-        *by, "tp", "fp", "tn", "fn", total.alias("total"),
+        *by, *more, "tp", "fp", "tn", "fn", total.alias("total"),
         (F.col("tp") + F.col("fn")).alias("positives"),
         F.try_divide((F.col("tp") + F.col("tn")).cast("double"), total).alias("accuracy"),
         F.try_divide(F.col("tp").cast("double"), F.col("tp") + F.col("fn")).alias("sensitivity"),
@@ -62,58 +62,54 @@ def auc_midrank(pred: DataFrame, score: str = "score", label: str = "label",
                 by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """Area under the ROC curve per group, ties counted half.
 
-    Null when a group has no positives or no negatives.  ``buckets`` (default:
-    the session's shuffle partitions, so tasks follow the cluster) only says
-    how finely the running sum is cut.
+    Null when a group has no positives or no negatives; null scores rank lowest.
+    ``buckets`` (default: the session's shuffle partitions, so tasks follow the
+    cluster) is the number of ranges the distinct scores are dealt to.
     """
-    by = list(by)
-    buckets = buckets or max(COARSE, int(pred.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    g = (pred.groupBy(*by, score)
-         .agg(F.sum((F.col(label) > 0).cast("long")).alias("_p"),
-              F.sum((F.col(label) <= 0).cast("long")).alias("_q")))
-    return auc_from_counts(g.withColumnsRenamed({"_p": "p", "_q": "q"}), score, by, buckets)
-
-
-def auc_from_counts(counts: DataFrame, score: str, by: list[str], buckets: int) -> DataFrame:
-    """The area from (by..., score, p positives, q negatives), one row per distinct score."""
-    g = counts.withColumnsRenamed({"p": "_p", "q": "_q"})
-    probs = [i / buckets for i in range(1, buckets)]
-    q = g.groupBy(*by).agg(F.percentile_approx(score, probs, 10_000).alias("_bounds"))
-    if by:
-        right = q.withColumnsRenamed({c: f"_g_{c}" for c in by})
-        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by])
-        gb = g.join(right, same).drop(*[f"_g_{c}" for c in by])
-    else:
-        gb = g.withColumn("_bounds", q.select("_bounds").scalar())
+    counts = pred.groupBy(*by, score).agg(*_class_counts(label))
+    return auc_from_counts(counts, score, list(by), buckets)
+
 
-    def below(bounds):
-        return F.size(F.filter(bounds, lambda x: x < F.col(score)))
+def _class_counts(label: str) -> list:
+    return [F.sum((F.col(label) > 0).cast("long")).alias("p"), F.sum((F.col(label) <= 0).cast("long")).alias("q")]
 
-    every = F.filter("_bounds", lambda _, i: i % COARSE == COARSE - 1)
-    gb = gb.withColumn("_coarse", below(every))
-    fine = below(F.slice("_bounds", F.col("_coarse") * COARSE + 1, F.lit(COARSE)))
-    gb = gb.withColumn("_bk", F.col("_coarse") * COARSE + fine).drop("_bounds", "_coarse")
-    r = bucketed_running_sum(gb, "_q", score, "_bk", by=by, name="_below")
-    contrib = F.col("_p").cast("decimal(18,0)") * (2 * F.col("_below") + F.col("_q")).cast("decimal(19,0)")
-    agg = r.groupBy(*by).agg(F.sum(contrib).alias("_c"), F.sum("_p").alias("_P"),
-                             F.sum("_q").alias("_N"))
-    return agg.select(*by, F.when((F.col("_P") > 0) & (F.col("_N") > 0),
-                                  F.col("_c").cast("double") / (2.0 * F.col("_P") * F.col("_N")))
-                      .alias("auc"))
+
+def auc_from_counts(counts: DataFrame, score: str, by: list[str], buckets: int | None = None,
+                    totals: Sequence[str] = ()) -> DataFrame:
+    """(by..., auc) from (by..., score, p positives, q negatives), one row per distinct score.
+
+    The rows are dealt by ranges of (by, score), so that a group with most of
+    them is split.  Each range sums its own pairs; the negatives of the ranges
+    before it enter through one row per group and range, and no bounds or
+    offsets are attached to rows.  ``totals`` are summed per group on the way.
+    """
+    spark = counts.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    part = "_part"
+    rows = counts.repartitionByRange(n, *by, score).withColumn(part, F.spark_partition_id())
+    own = Window.partitionBy(part, *by).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_below", F.coalesce(F.sum("q").over(own), F.lit(0)))
+    pairs = F.col("p").cast("decimal(18,0)") * (2 * F.col("_below") + F.col("q")).cast("decimal(19,0)")
+    ranges = rows.groupBy(*by, part).agg(F.sum(pairs).alias("_c"), F.sum("p").alias("_p"), F.sum("q").alias("_q"),
+                                         *[F.sum(c).alias(c) for c in totals])
+    before = Window.partitionBy(*by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)   # <= n rows a group
+    ranges = ranges.withColumn("_off", F.coalesce(F.sum("_q").over(before), F.lit(0)))
+    across = F.col("_p").cast("decimal(18,0)") * (2 * F.col("_off")).cast("decimal(19,0)")
+    agg = ranges.groupBy(*by).agg(F.sum(F.col("_c") + across).alias("_c"), F.sum("_p").alias("_P"), F.sum("_q").alias("_N"),
+                                  *[F.sum(c).alias(c) for c in totals])
+    return agg.select(*by, *totals, F.when((F.col("_P") > 0) & (F.col("_N") > 0),
+                                           F.col("_c").cast("double") / (2.0 * F.col("_P") * F.col("_N"))).alias("auc"))
 
 
 def binary_metrics(pred: DataFrame, score: str = "score", label: str = "label",
                    by: Sequence[str] = (), threshold: float = 0.0, mode: str = "threshold") -> DataFrame:
-    """Total, positives, auc, accuracy, sensitivity, specificity."""
-    c = confusion_counts(pred, score, label, by, threshold, mode)
-    a = auc_midrank(pred, score, label, by)
-    if by:
-        right = a.withColumnsRenamed({x: f"_g_{x}" for x in by})
-        same = reduce(lambda x, y: x & y, [F.col(x).eqNullSafe(F.col(f"_g_{x}")) for x in by])
-        j = c.join(right, same)
-    else:
-        j = c.withColumn("auc", a.select("auc").scalar())
-    return j.select(*by, "total", "positives", "auc", "accuracy", "sensitivity", "specificity")
+    """Total, positives, auc, accuracy, sensitivity, specificity.
+
+    ``pred`` is read once: area and confusion counts come from the same counts per score.
+    """
+    counts = pred.groupBy(*by, score).agg(*_class_counts(label), *_confusion(score, label, threshold, mode))
+    m = _rates(auc_from_counts(counts, score, list(by), totals=CONFUSION), by, "auc")
+    return m.select(*by, "total", "positives", "auc", "accuracy", "sensitivity", "specificity")
 
 
 def attrition_counts(stages: dict[str, DataFrame]) -> DataFrame:
