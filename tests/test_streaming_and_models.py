@@ -64,6 +64,25 @@ def test_topic_mixtures_sum_to_one(spark):
     assert len(tt) == 6 and all(t.term in {"alpha", "beta", "gamma", "delta", "epsilon"} for t in tt)
 
 
+def test_topic_fits_read_the_notes_on_all_cores(spark, monkeypatch):
+    from wardline.operators import topics
+
+    rows = [(i % 5, i, ["alpha", "beta", "gamma" if i % 2 else "delta"]) for i in range(60)] + [(9, 99, []), (9, 100, None)]
+    tokens = spark.createDataFrame(rows, "pid long, note_id long, tokens array<string>").coalesce(1)
+    seen = []
+    fit = topics.LDA.fit
+    monkeypatch.setattr(topics.LDA, "fit", lambda self, counts: seen.append(counts) or fit(self, counts))
+    model = topics.fit_topics(tokens, k=2, max_iter=2)
+    parts = seen[0].groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == spark.sparkContext.defaultParallelism and sum(r["count"] for r in parts) == 60
+    got = topics.note_topics(model, tokens)
+    assert got.select(F.spark_partition_id()).distinct().count() == len(parts)
+    assert sorted(r.note_id for r in got.select("note_id").collect()) == list(range(60))
+    monkeypatch.setattr(topics, "NOTES_PER_PART", 10)                 # many notes: more parts than cores
+    assert topics._spread(tokens.where("size(tokens) > 0")).rdd.getNumPartitions() == 6
+    assert topics.topic_features(model, tokens.where("false")).count() == 0
+
+
 def test_registered_fits_are_the_full_ones(monkeypatch):
     """k = 50 and 50 iterations in every topic fit, 5 folds in the derived grid."""
     from types import SimpleNamespace
