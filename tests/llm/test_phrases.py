@@ -95,3 +95,22 @@ def test_intervals_move_in_step():
             after = Counter(int(text[(j + length) % len(text)]) for j in at)
             assert Counter(index.backward.bwt[p.backward[i]:p.backward[i] + p.size[i]].tolist()) == after
         p = index.extended(p)
+
+
+def test_places_are_sorted_as_one_number(monkeypatch):
+    rng = np.random.default_rng(5)
+    for keys in (rng.integers(0, 50, 3000), rng.integers(0, 1 << 62, 3000), np.zeros(4, np.int32), np.zeros(0, np.int64),
+                 np.array([7]), rng.integers(0, 9, 500).astype(np.int32)):
+        order = np.argsort(keys, kind="stable")
+        values, places = P.sorted_places(keys)
+        assert np.array_equal(values, keys[order]) and np.array_equal(places, order)
+
+    def no_slow_sort(*_, **__):
+        raise AssertionError("places sorted by their keys")
+
+    text = np.append(rng.integers(0, 40, 2000), 0).astype(np.int32)
+    monkeypatch.setattr(P.np, "argsort", no_slow_sort)
+    bwt = P.transform(text, 3)
+    side = P.Side(bwt)
+    assert "to" not in vars(side)                       # made when a level moves an interval, not before
+    assert sorted(side.to.tolist()) == list(range(len(text)))
