@@ -309,3 +309,14 @@ def test_pipeline_stages(spark, tmp_path, make_docs):
     final = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
     taken = sorted(r.doc_id for r in held)
     assert sorted(final[final.piece == 0].doc_id.tolist()) == taken
+
+
+def test_sieve_reads_the_features_of_a_word():
+
+    words = ["", "ab", "abcd", "abcde", "abcdef", "abcdefgh", "éèüöäß", "zz", "hello world", "abcx other"]
+    marked = {zlib.crc32(f.encode()) % toxicity.SIEVE for f in ("^abcd", "zz", "^éèüöä", "^hell", "other")}
+    sieve = bytes(i in marked for i in range(toxicity.SIEVE))
+    for word in words:
+        want = [w for w in word.split(" ") if any(sieve[zlib.crc32(f.encode()) % toxicity.SIEVE] for f in toxicity.features(w))]
+        assert toxicity._hits(sieve, word) == (want or None)
+    assert not toxicity._may_weigh(sieve, "ab") and toxicity._may_weigh(sieve, "abcdx")

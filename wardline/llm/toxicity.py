@@ -35,6 +35,7 @@ import re
 import unicodedata
 import zlib
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,7 @@ AGAINST = {"word": 10, "head": 20}    # a clean document counts as so many again
 LEAST = 0.5
 SIEVE = 1 << 22           # cells; a word whose features all miss it has no weight, the others are joined
 HEADS = (4, 5, 6)
+HEAD_MARK = zlib.crc32(b"^")
 CACHED = 600_000          # words a worker holds
 HELD = 1_000_000          # features a training task gathers before it passes them on
 TRIGRAM = 2               # context length the decoder uses
@@ -92,30 +94,29 @@ class Decoder:
         start = (edge, edge, "")
         for i, ch in enumerate(word):
             nxt: dict = {}
-
-            def offer(state, score, path):
-                if state not in nxt or nxt[state][0] < score:
-                    nxt[state] = (score, path)
-
-            letter, sign = ch.isalpha(), _is_sign(ch)
-            options = [(c, _symbol(c), COST["stands"]) for c in STANDS_FOR.get(ch, "")]
-            options.append((ch, _symbol(ch), COST["same"] if letter else COST["sign"]))
+            letter, sign, options = _readings(ch)
             twice = letter and word[i - 1: i] == ch and word[i - 2: i - 1] != ch and word[i + 1: i + 2] != ch
             repeat = COST["double" if twice else "repeat"]          # two of a letter are common in words, three are not
             for (a, b, last), (score, path) in states.items():
                 at = (a * size + b) * size
                 for c, symbol, cost in options:
-                    offer((b, symbol, c), score - cost + log[at + symbol], (path, c))
+                    state, new = (b, symbol, c), score - cost + log[at + symbol]
+                    if state not in nxt or nxt[state][0] < new:
+                        nxt[state] = (new, (path, c))
                     if c == last:
-                        offer((a, b, last), score - cost - repeat, path)
+                        state, new = (a, b, last), score - cost - repeat
+                        if state not in nxt or nxt[state][0] < new:
+                            nxt[state] = (new, path)
                 if sign:
-                    offer((a, b, last), score - COST["apart"], path)
+                    state, new = (a, b, last), score - COST["apart"]
+                    if state not in nxt or nxt[state][0] < new:
+                        nxt[state] = (new, path)
                     if last:
-                        offer(start, score - COST["apart"] + log[at + edge], (path, " "))
+                        _offer(nxt, start, score - COST["apart"] + log[at + edge], path, " ")
             if spaced and i + 1 < len(word):
                 for (a, b, last), (score, path) in list(nxt.items()):
                     if last:
-                        offer(start, score + log[(a * size + b) * size + edge], (path, " "))
+                        _offer(nxt, start, score + log[(a * size + b) * size + edge], path, " ")
             states = nxt
         _, path = max(((score + (log[(a * size + b) * size + edge] if last else 0.0), path)
                        for (a, b, last), (score, path) in states.items()), key=lambda x: x[0])
@@ -130,6 +131,20 @@ def _symbol(c: str) -> int:
     return int(markov.CODE[ord(c)]) if ord(c) < 256 else markov.OTHER
 
 
+@lru_cache(1 << 14)
+def _readings(ch: str) -> tuple[bool, bool, tuple]:
+    """(is a letter, is a sign, (letter it may be, symbol, cost) of each reading)."""
+    letter = ch.isalpha()
+    options = [(c, _symbol(c), COST["stands"]) for c in STANDS_FOR.get(ch, "")]
+    options.append((ch, _symbol(ch), COST["same"] if letter else COST["sign"]))
+    return letter, _is_sign(ch), tuple(options)
+
+
+def _offer(states: dict, state: tuple, score: float, path, c: str) -> None:
+    if state not in states or states[state][0] < score:
+        states[state] = (score, (path, c))
+
+
 def looks_disguised(word: str) -> bool:
     return _DISGUISED.search(word) is not None
 
@@ -233,15 +248,27 @@ def _trainer(model):
 
 
 def _hits(sieve, restored: str) -> list[str] | None:
-    """The words with a feature in the sieve."""
-    return [w for w in restored.split(" ")
-            if any(sieve[zlib.crc32(f.encode()) % SIEVE] for f in features(w))] or None
+    """The words with a feature in the sieve (a byte per cell)."""
+    return [w for w in restored.split(" ") if w and _may_weigh(sieve, w)] or None
+
+
+def _may_weigh(sieve: bytes, word: str) -> bool:
+    if sieve[zlib.crc32(word.encode()) % SIEVE]:
+        return True
+    crc, at = HEAD_MARK, 0
+    for n in HEADS:                                     # each head goes on where the shorter one ended
+        if len(word) < n:
+            return False
+        crc, at = zlib.crc32(word[at:n].encode(), crc), n
+        if sieve[crc % SIEVE]:
+            return True
+    return False
 
 
 def _finder(shared):
     """(content, word) of the documents' restored words that may have a weight."""
     def find(batches):
-        counts, sieve = shared.value
+        counts, sieve = shared.value[0], shared.value[1].tobytes()
         decoder, known = Decoder(markov.Model(counts)), {}
 
         def entry(restored: str):
