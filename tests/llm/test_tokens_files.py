@@ -128,3 +128,27 @@ def test_corruption_is_found():
         bad[at] ^= 1
         with pytest.raises((records.CorruptRecord, Exception)):
             records.parse(bytes(bad))
+
+
+def test_tokenizer_cache_and_slices_stay_small(monkeypatch):
+    """The pieces a worker keeps and the text it encodes at once are bounded; the ids stay the library's."""
+    from wardline.llm import kernels, tokens
+
+    assert tokens.MAX_CACHED <= 600_000 and tokens.SLICE_BYTES <= 1 << 20
+    monkeypatch.setattr(tokens, "MAX_CACHED", 300)
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 2000)
+    texts = [" ".join(f"w{i * j % 977}x{j}" for j in range(40)) for i in range(200)]
+    piece, kept = PieceTokenizer(P.path("byte_bpe_50k.json"), 2), 0
+    want = library_ids("byte_bpe_50k.json", texts)
+
+    def encoded(batches):
+        for column in batches:
+            yield from piece.encode(column)
+
+    at = 0
+    for _, ids, offsets in kernels.lean(encoded)([pa.array(texts[:90]), pa.array(texts[90:])]):
+        kept = max(kept, len(piece.index))
+        for i in range(len(offsets) - 1):
+            assert ids[offsets[i]: offsets[i + 1]].tolist() == want[at].tolist()
+            at += 1
+    assert at == 200 and kept < 2000
