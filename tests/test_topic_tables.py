@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wardline.operators.features import feature_index, sparse_features, sparse_points
 from wardline.operators.ranking import dense_index
 from wardline.operators.text import sparse_terms, vocabulary_index
-from wardline.operators.topic_tables import first_shares, fit_topic_tables, fitted_topics, fold_in, table_top_terms
+from wardline.operators.topic_tables import _counts, first_shares, fit_topic_tables, fitted_topics, fold_in, table_top_terms
 
 
 def made_tokens(n=40, seed=1):
@@ -129,6 +129,21 @@ def test_tables_equal_numpy(spark):
         assert r["rank"] == int((phi[:, r.topic] > r.weight * (1 + 1e-9)).sum())
 
 
+def test_blocks_hold_one_span_and_send_each_term_once_per_part(spark):
+    """What a pass moves is a row per term and document of each block, so blocks share few of them."""
+    rows = [(i, [f"w{(i * j) % 90}" for j in range(60)]) for i in range(60)]
+    tokens = frame(spark, rows)
+    vocabulary = vocabulary_index(tokens)
+    n, terms = sum(len(set(t)) for _, t in rows), len({x for _, t in rows for x in t})
+    counts, routes = _counts(tokens, vocabulary, 2, "note_id", "tokens", 2 * -(-n // 2), 1 << 18)
+    assert routes.where("kind = 0").count() <= 2 * terms and routes.where("kind = 1").count() == 60
+    assert counts.agg(F.sum(F.size("term"))).first()[0] == n and counts.count() == 60       # a row per document
+    counts, routes = _counts(tokens, vocabulary, 2, "note_id", "tokens", 400, 30)
+    spans = routes.where("kind = 0").groupBy("block").agg(F.countDistinct(F.expr("id div 30")).alias("n"))
+    assert {r.n for r in spans.collect()} == {1} and spans.count() > 3
+    assert counts.agg(F.sum(F.aggregate("n", F.lit(0.0), lambda a, x: a + x))).first()[0] == 60 * 60
+
+
 def test_fold_in_separates_groups(spark):
     rows = made_tokens(60)[:60]
     model = fit_topic_tables(frame(spark, rows), 3, 25, alpha=1.1)
