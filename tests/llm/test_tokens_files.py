@@ -152,3 +152,41 @@ def test_tokenizer_cache_and_slices_stay_small(monkeypatch):
             assert ids[offsets[i]: offsets[i + 1]].tolist() == want[at].tolist()
             at += 1
     assert at == 200 and kept < 2000
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_new_pieces_are_encoded_joined_and_a_full_cache_keeps_the_used_ones(monkeypatch, name):
+    """Far fewer encodings than pieces, the library's ids, and pieces that came back stay when the cache is full."""
+    from wardline.llm import tokens
+
+    monkeypatch.setattr(tokens, "MAX_CACHED", 4000)
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 20_000)
+    rng = random.Random(5)
+    letters = "abcdefgéßñ"
+    common = ["".join(rng.choice(letters) for _ in range(6)) for _ in range(100)]
+
+    def text():
+        return " ".join(rng.choice(common) if rng.random() < 0.5 else "".join(rng.choice(letters) for _ in range(9))
+                        + rng.choice(["", ".", "!!", "###", ",&"]) for _ in range(100))
+
+    texts = [text() for _ in range(200)] + ["aक़ क़b <|endoftext|> x<|endoftext|>", "don't!! 'tis'. \x7f a\x7f"]
+    piece, cut = PieceTokenizer(P.path(name), 2), []
+    encode, shrink = piece._encode, piece._shrink
+    seen = []
+
+    def counted(batch):
+        seen.append(len(batch))
+        return encode(batch)
+
+    def shrunk():
+        shrink()
+        cut.append(len(set(piece.index) & {x for c in common for x in (c, " " + c)}))
+
+    monkeypatch.setattr(piece, "_encode", counted)
+    monkeypatch.setattr(piece, "_shrink", shrunk)
+    want = library_ids(name, texts)
+    for rows, ids, offsets in piece.encode(pa.array(texts)):
+        for i, w in enumerate(want[rows]):
+            assert ids[offsets[i]: offsets[i + 1]].tolist() == w.tolist()
+    assert cut and min(cut) > 90
+    assert sum(seen) < 2000
