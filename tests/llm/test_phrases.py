@@ -114,3 +114,33 @@ def test_places_are_sorted_as_one_number(monkeypatch):
     side = P.Side(bwt)
     assert "to" not in vars(side)                       # made when a level moves an interval, not before
     assert sorted(side.to.tolist()) == list(range(len(text)))
+
+
+def test_a_shard_is_extended_in_blocks_of_occurrences(monkeypatch):
+    """Blocks of any size give the same phrases; the memory beyond the index does not grow with a shard's occurrences."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 300, 1000)).encode() for _ in range(400)]
+    shard = P._shard("en", list(texts))
+
+    class Full:
+        value = np.full(1 << 10, -1, np.int64)
+
+    def rows(block):
+        monkeypatch.setattr(P, "BLOCK", block)
+        return [r for b in P._level(2, [Full])(iter([shard])) for r in zip(*(b.column(i).to_pylist() for i in range(1, 6)))]
+
+    def peak(block):
+        monkeypatch.setattr(P, "BLOCK", block)
+        tracemalloc.start()
+        for _ in P._level(2, [Full])(iter([shard])):
+            pass
+        top = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return top
+
+    small = rows(5000)
+    assert len(small) == len({r[0] for r in small}) and sum(r[1] for r in small) == 400 * 999
+    assert small == rows(1 << 29)
+    assert peak(1 << 14) < 0.75 * peak(1 << 30)

@@ -44,6 +44,7 @@ PERCENT = 50
 TOP = 2000
 SALTS = 64
 BORDER = 0
+BLOCK = 1 << 18          # occurrences extended at once
 
 SPLITS = X.byte_set((0x0A, 0x0D))
 SPLITS[[ord(c) for c in ".,;:!?"]] = True
@@ -60,9 +61,13 @@ def symbols(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, pa.Array]
     """The id sequence (word number + 1, a border before each piece and at the end) and the words."""
     starts, ends = X.word_spans(data, bounds, INSIDE)
     ids, words = X.dictionary(data, starts, ends, INSIDE)
-    piece = np.cumsum(SPLITS[data], dtype=np.int64)[starts] + np.searchsorted(bounds, starts, "right")
+    # a word opens a piece where a split or a text's end lies between it and the word before
+    splits = np.flatnonzero(SPLITS[data])
+    piece = np.searchsorted(splits, starts) + np.searchsorted(bounds, starts, "right")
+    del starts, ends, splits
     first = np.ones(len(ids), bool)
     first[1:] = piece[1:] != piece[:-1]
+    del piece
     out = np.full(len(ids) + int(first.sum()) + 1, BORDER, np.int32)
     out[np.arange(len(ids)) + np.cumsum(first)] = ids + 1
     return out, words
@@ -78,7 +83,9 @@ def sorted_places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(keys) or int(keys.max()) >> (63 - bits):
         order = np.argsort(keys, kind="stable")
         return keys[order], order
-    both = np.sort((keys.astype(np.int64) << bits) | np.arange(len(keys)))
+    both = keys.astype(np.int64) << bits
+    both |= np.arange(len(keys))
+    both.sort()
     return both >> bits, both & ((1 << bits) - 1)
 
 
@@ -88,14 +95,18 @@ def transform(text: np.ndarray, depth: int) -> np.ndarray:
     order = sorted_places(rank)[1] if depth == 1 else None
     while have < depth:
         step = min(have, depth - have)
-        pair = rank * (int(rank.max()) + 1) + np.roll(rank, -step)
+        pair = rank * (int(rank.max()) + 1)
+        pair += np.roll(rank, -step)
+        del rank
         pair, order = sorted_places(pair)
         have += step
         if have < depth:
             new = np.ones(len(pair), np.int64)
             new[1:] = pair[1:] != pair[:-1]
-            rank = np.empty(len(pair), np.int64)
-            rank[order] = np.cumsum(new) - 1
+            del pair
+            new[0] = 0
+            rank = np.empty(len(new), np.int64)
+            rank[order] = np.cumsum(new, out=new)
     return text[order - 1]
 
 
@@ -122,9 +133,22 @@ class Phrases:
     size: np.ndarray
     hashes: np.ndarray
 
-    def take(self, at: np.ndarray) -> Phrases:
+    def take(self, at: np.ndarray | slice) -> Phrases:
         return Phrases([w[at] for w in self.words], self.forward[at], self.backward[at], self.size[at], self.hashes[at])
 
+    def blocks(self, size: int) -> Iterator[Phrases]:
+        """Runs of phrases with about ``size`` occurrences."""
+        block = (np.cumsum(self.size) - self.size) // size
+        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            yield self.take(slice(lo, hi))
+
+    @staticmethod
+    def joined(parts: list[Phrases]) -> Phrases:
+        return Phrases([np.concatenate(w) for w in zip(*(p.words for p in parts))],
+                       *(np.concatenate([getattr(p, name) for p in parts])
+                         for name in ("forward", "backward", "size", "hashes")))
+
 
 def _rows(low: np.ndarray, size: np.ndarray) -> np.ndarray:
     ends = np.cumsum(size)
@@ -178,7 +202,9 @@ class ShardIndex:
 def _shard(lang: str, texts: list[bytes]) -> pa.RecordBatch:
     data = X.LOWER[np.frombuffer(b"".join(texts), np.uint8)]
     bounds = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    texts.clear()                                       # the shard's texts are in ``data`` now
     text, words = symbols(data, bounds)
+    del data
     return K.batch(["lang", "words", "forward", "backward"], [
         pa.array([lang], pa.string()), pa.array([b" ".join(words.to_pylist())], pa.binary()),
         pa.array([transform(text, LONGEST).tobytes()], pa.binary()),
@@ -219,8 +245,11 @@ def _level(length: int, sieves: list):
                 p = index.single()
                 for size in range(1, length):
                     p = p.take(np.flatnonzero(X.passes(sieves[size - 1].value, p.hashes)))
-                    p = index.extended(p)
-                    p = p.take(np.flatnonzero(X.passes(sieves[size - 1].value, index.hash_of(p.words[1:]))))
+                    longer = []
+                    for block in p.blocks(BLOCK):
+                        q = index.extended(block)
+                        longer.append(q.take(np.flatnonzero(X.passes(sieves[size - 1].value, index.hash_of(q.words[1:])))))
+                    p = Phrases.joined(longer)
                 left = index.open_ends(index.forward, p.forward, p.size)
                 right = index.open_ends(index.backward, p.backward, p.size)
                 for at in range(0, len(p.size), 1 << 16):
@@ -243,10 +272,10 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     spark = docs.sparkSession
     source = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"),
                          F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    index = written(source.mapInArrow(_indexer(shard_bytes), INDEX), "phrase-index", maxRecordsPerFile=1)
+    index = written(source.mapInArrow(K.lean(_indexer(shard_bytes)), INDEX), "phrase-index", maxRecordsPerFile=1)
     levels, sieves = [], []
     for length in range(1, longest + 1):
-        counts = (index.mapInArrow(_level(length, list(sieves)), GRAMS).groupBy("lang", "phrase")
+        counts = (index.mapInArrow(K.lean(_level(length, list(sieves))), GRAMS).groupBy("lang", "phrase")
                   .agg(F.sum("f").alias("f"), F.sum("left_open").alias("left_open"),
                        F.sum("right_open").alias("right_open"), F.first("h").alias("h")))
         if length == 1:
