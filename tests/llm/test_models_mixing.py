@@ -320,3 +320,30 @@ def test_sieve_reads_the_features_of_a_word():
         want = [w for w in word.split(" ") if any(sieve[zlib.crc32(f.encode()) % toxicity.SIEVE] for f in toxicity.features(w))]
         assert toxicity._hits(sieve, word) == (want or None)
     assert not toxicity._may_weigh(sieve, "ab") and toxicity._may_weigh(sieve, "abcdx")
+
+
+def test_tasks_of_one_run_share_the_restored_words(monkeypatch):
+    """A worker decodes a word once a run, another run (another model or sieve) starts anew; the words found are the same."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+
+    calls = []
+    decode = toxicity.Decoder.decode
+    monkeypatch.setattr(toxicity.Decoder, "decode", lambda self, word, spaced=False: calls.append(word) or decode(self, word, spaced))
+    counts = np.zeros((markov.ORDER + 1, markov.CONTEXTS, markov.SYMBOLS), np.int64)
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([b"id1ot w0rd plain", b"w0rd s p a c e d"], pa.binary())],
+                                       names=["content", "word"])
+
+    def found(run, cells):
+        shared = SimpleNamespace(value=(counts, np.full(toxicity.SIEVE, cells)))
+        rows = [r for b in toxicity._finder(shared, run)(iter([batch])) for r in zip(*(c.to_pylist() for c in b.columns))]
+        words = [w for w in calls if w in ("id1ot", "w0rd")]
+        calls.clear()
+        return sorted(rows), len(words)
+
+    first, n = found("a", True)
+    assert len(first) >= 5 and n == 2
+    assert found("a", True) == (first, 0)
+    assert found("b", False) == ([], 2)

@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import uuid
 import zlib
 from collections import Counter
 from functools import lru_cache
@@ -265,11 +266,19 @@ def _may_weigh(sieve: bytes, word: str) -> bool:
     return False
 
 
-def _finder(shared):
-    """(content, word) of the documents' restored words that may have a weight."""
+_FINDER: dict[str, tuple] = {}      # of the run a worker is at: what its tasks share
+
+
+def _finder(shared, run: str):
+    """(content, word) of the documents' restored words that may have a weight.
+
+    The tasks of one ``run`` in a worker share the words found so far.
+    """
     def find(batches):
-        counts, sieve = shared.value[0], shared.value[1].tobytes()
-        decoder, known = Decoder(markov.Model(counts)), {}
+        if run not in _FINDER:
+            _FINDER.clear()
+            _FINDER[run] = Decoder(markov.Model(shared.value[0])), {}, shared.value[1].tobytes()
+        decoder, known, sieve = _FINDER[run]
 
         def entry(restored: str):
             return _hits(sieve, restored)
@@ -367,7 +376,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     shared = spark.sparkContext.broadcast((counts, sieve))             # of fixed size
     base = min(rate, 0.5) / 2
     content = F.xxhash64("text")
-    pairs = stored(rows.select(content.alias("content"), "text").mapInArrow(_finder(shared), "content long, word string")
+    pairs = stored(rows.select(content.alias("content"), "text").mapInArrow(_finder(shared, uuid.uuid4().hex), "content long, word string")
                    .distinct(), "pairs")
     weights = _word_weights(pairs.select("word").distinct(), kept)
     clean = F.aggregate(F.array_sort(F.collect_list(F.struct("word", "weight"))), F.lit(1.0 - base),
