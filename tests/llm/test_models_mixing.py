@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import ODD_ROWS
@@ -248,6 +249,35 @@ def test_toxicity_spaced_words_among_short_words(spark, make_docs):
     assert all(r.predicted == (r.doc_id % 4 == 0) for r in got)
 
 
+@pytest.mark.parametrize("held", [toxicity.HELD, 3])
+def test_toxicity_training_tasks_share_restored_words(monkeypatch, held):
+    class Shared:
+        value = np.zeros(int(np.prod(markov.SHAPE)), np.int64)
+
+    monkeypatch.setattr(toxicity, "HELD", held)
+    restored, restore = [], toxicity.restore
+    monkeypatch.setattr(toxicity, "restore", lambda word, decoder: restored.append(word) or restore(word, decoder))
+    tasks = [[("word words word", 1), ("words s o m e", 0), (None, 1)], [("words sentence", 1), ("", 0)], []]
+    for task in tasks:
+        seen = len(restored)
+        batches = [pa.record_batch([pa.array([t.encode() if t else None], pa.binary()), pa.array([y], pa.int32())],
+                                   ["text", "label"]) for t, y in task]
+        got, want = {}, {}
+        for rb in toxicity._trainer(Shared, "a run")(batches):
+            for f, toxic, clean in zip(*(c.to_pylist() for c in rb.columns)):
+                got[f] = tuple(np.add(got.get(f, (0, 0)), (toxic, clean)).tolist())
+        decoder = toxicity.Decoder(markov.Model(Shared.value))
+        for text, y in task:
+            words = [*(text or "").split()] if "s o m e" not in (text or "") else [
+                "words", "s", "o", "m", "e", *decoder.decode("some", spaced=True).split(" ")]
+            for f in {f for w in words for f in toxicity.features(restore(w, decoder))}:
+                want[f] = tuple(np.add(want.get(f, (0, 0)), (y, 1 - y)).tolist())
+        assert got == want
+        if held > 3 and task is tasks[1]:
+            assert restored[seen:] == ["sentence"]              # "words" is known from the task before
+    toxicity._SHARED.clear()
+
+
 def test_toxicity_keeps_every_feature(spark, make_docs):
     rng = random.Random(9)
     rare = ["zq" + "".join(rng.sample("abcdefghijklm", 6)) for _ in range(20)]      # last in the order of the features

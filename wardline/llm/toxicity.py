@@ -35,8 +35,8 @@ import re
 import unicodedata
 import uuid
 import zlib
-from collections import Counter
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +55,7 @@ SIEVE = 1 << 22           # cells; a word whose features all miss it has no weig
 HEADS = (4, 5, 6)
 HEAD_MARK = zlib.crc32(b"^")
 CACHED = 600_000          # words a worker holds
-HELD = 1_000_000          # features a training task gathers before it passes them on
+HELD = 1_000_000          # features a training worker numbers before it passes their counts on
 TRIGRAM = 2               # context length the decoder uses
 
 # what a character may stand for besides itself
@@ -172,13 +172,12 @@ def block_words(column: pa.Array, decoder: Decoder, known: dict, entry):
         kinds, first, code = np.unique(b.word_hash(K.BYTE_LOWER), return_index=True, return_inverse=True)
         if len(known) > CACHED:
             known.clear()
-        raw, get, entries = b.data.tobytes(), known.get, []
-        starts, ends = b.starts[first].tolist(), b.ends[first].tolist()
-        for i, h in enumerate(kinds.tolist()):
-            found = get(h, known)                       # the dict itself stands for "not there"
-            if found is known:
-                found = known[h] = entry(restore(raw[starts[i]: ends[i]].decode("utf-8", "replace"), decoder))
-            entries.append(found)
+        raw, kinds = b.data.tobytes(), kinds.tolist()
+        entries = list(map(known.get, kinds, repeat(known)))            # the dict itself stands for "not there"
+        new = [i for i, found in enumerate(entries) if found is known]
+        at = first[new]
+        for i, lo, hi in zip(new, b.starts[at].tolist(), b.ends[at].tolist()):
+            entries[i] = known[kinds[i]] = entry(restore(raw[lo:hi].decode("utf-8", "replace"), decoder))
         runs: dict[int, list[str]] = {}
         for lo, hi, doc in _single_runs(b):
             run = "".join(raw[b.starts[i]: b.ends[i]].decode("utf-8", "replace").lower() for i in range(lo, hi))
@@ -207,42 +206,57 @@ def _features(word: str) -> list[str]:
     return [word, *["^" + word[:n] for n in HEADS if len(word) >= n]] if word else []
 
 
-def _trainer(model):
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
+
+
+_SHARED: dict[str, tuple] = {}      # of the run a worker is at: what its tasks share
+
+
+def _trainer(model, run: str):
+    """(feature, toxic, clean): the documents of each class that hold a feature.
+
+    The tasks of one ``run`` in a worker share the words restored so far and the numbers of their features.
+    """
     def count(batches):
-        decoder, known = Decoder(markov.Model(model.value)), {}
-        toxic, clean = Counter(), Counter()
+        if run not in _SHARED:
+            _SHARED.clear()
+            _SHARED[run] = Decoder(markov.Model(model.value)), {}, {}
+        decoder, known, ids = _SHARED[run]
+        total = np.zeros((0, 2), np.int64)              # clean and toxic documents of each feature number
+
+        def entry(restored: str) -> tuple[int, ...]:
+            return tuple([ids.setdefault(f, len(ids)) for f in features(restored)])
 
         def rows():
-            names = list(toxic.keys() | clean.keys())
+            names, seen = list(ids), np.flatnonzero(total.any(axis=1))
             return K.batch(["feature", "toxic", "clean"],
-                           [pa.array(names, pa.string()), pa.array([toxic[x] for x in names], pa.int64()),
-                            pa.array([clean[x] for x in names], pa.int64())])
+                           [pa.array([names[i] for i in seen.tolist()], pa.string()), total[seen, 1], total[seen, 0]])
 
         for rb in batches:
             labels = rb.column(1).to_numpy()
-            for b, code, entries, runs in block_words(rb.column(0), decoder, known, features):
-                ids: dict[str, int] = {}
+            for b, code, entries, runs in block_words(rb.column(0), decoder, known, entry):
                 # feature numbers of every code, and of the words of runs, as (document, feature) pairs
-                numbers = [[ids.setdefault(f, len(ids)) for f in e] for e in entries]
-                size = np.fromiter(map(len, numbers), np.int64, len(numbers))
-                flat = np.fromiter((x for n in numbers for x in n), np.int64, int(size.sum()))
-                at = np.unique(b.doc * max(1, len(entries)) + code)
+                size = np.fromiter(map(len, entries), np.int64, len(entries))
+                flat = np.fromiter(chain.from_iterable(entries), np.int64, int(size.sum()))
+                at = _distinct(b.doc * max(1, len(entries)) + code)
                 doc, code = at // max(1, len(entries)), at % max(1, len(entries))
                 begin = np.cumsum(size) - size
                 each = np.repeat(begin[code] - (np.cumsum(size[code]) - size[code]), size[code]) + np.arange(int(size[code].sum()))
-                more = [(d, ids.setdefault(f, len(ids))) for d, words in runs.items() for w in words for f in features(w)]
+                more = [(d, f) for d, words in runs.items() for w in words for f in entry(w)]
                 doc = np.concatenate((np.repeat(doc, size[code]), np.array([d for d, _ in more], np.int64)))
-                pair = np.unique(doc * max(1, len(ids)) + np.concatenate((flat[each], np.array([f for _, f in more], np.int64))))
-                marked = labels[b.rows][pair // max(1, len(ids))] > 0
-                names = list(ids)
-                for counter, chosen in ((toxic, pair[marked]), (clean, pair[~marked])):
-                    n = np.bincount(chosen % max(1, len(ids)), minlength=len(ids))
-                    for i in np.flatnonzero(n).tolist():
-                        counter[names[i]] += int(n[i])
-                if len(clean) + len(toxic) > HELD:
+                n = max(1, len(ids))
+                pair = _distinct(doc * n + np.concatenate((flat[each], np.array([f for _, f in more], np.int64))))
+                marked = labels[b.rows][pair // n] > 0
+                counts = np.bincount(pair % n * 2 + marked, minlength=2 * n).reshape(n, 2)
+                counts[:len(total)] += total
+                total = counts
+                if len(ids) > HELD:
                     yield rows()
-                    toxic.clear()
-                    clean.clear()
+                    known.clear()
+                    ids.clear()
+                    total = np.zeros((0, 2), np.int64)
         yield rows()
 
     return count
@@ -254,31 +268,29 @@ def _hits(sieve, restored: str) -> list[str] | None:
 
 
 def _may_weigh(sieve: bytes, word: str) -> bool:
-    if sieve[zlib.crc32(word.encode()) % SIEVE]:
+    raw = word.encode()
+    if sieve[zlib.crc32(raw) % SIEVE]:
         return True
-    crc, at = HEAD_MARK, 0
+    crc, at, plain = HEAD_MARK, 0, len(raw) == len(word)
     for n in HEADS:                                     # each head goes on where the shorter one ended
         if len(word) < n:
             return False
-        crc, at = zlib.crc32(word[at:n].encode(), crc), n
+        crc, at = zlib.crc32(raw[at:n] if plain else word[at:n].encode(), crc), n
         if sieve[crc % SIEVE]:
             return True
     return False
 
 
-_FINDER: dict[str, tuple] = {}      # of the run a worker is at: what its tasks share
-
-
 def _finder(shared, run: str):
     """(content, word) of the documents' restored words that may have a weight.
 
     The tasks of one ``run`` in a worker share the words found so far.
     """
     def find(batches):
-        if run not in _FINDER:
-            _FINDER.clear()
-            _FINDER[run] = Decoder(markov.Model(shared.value[0])), {}, shared.value[1].tobytes()
-        decoder, known, sieve = _FINDER[run]
+        if run not in _SHARED:
+            _SHARED.clear()
+            _SHARED[run] = Decoder(markov.Model(shared.value[0])), {}, shared.value[1].tobytes()
+        decoder, known, sieve = _SHARED[run]
 
         def entry(restored: str):
             return _hits(sieve, restored)
@@ -321,26 +333,18 @@ def _count_words(batches):
                 continue
             # words are laid out behind one another between boundaries
             length = b.ends[words] - starts
-            size = length + 1
-            ends = np.cumsum(size)
-            symbols = np.full(int(ends[-1]) + 1, markov.EDGE, np.int64)
-            at = np.repeat(ends - size + 1, length) + np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
-            symbols[at] = markov.CODE[b.data[np.repeat(starts, length) + np.arange(int(length.sum()))
-                                             - np.repeat(np.cumsum(length) - length, length)]]
-            padded = np.concatenate((np.full(2, markov.EDGE), symbols))
-            n = len(symbols) - 1
-            since = np.arange(1, n + 1) - np.repeat(np.concatenate(([0], ends[:-1])), size)   # symbols since the boundary
-            counts = []
-            for order in range(TRIGRAM + 1):
-                code = np.zeros(n, np.int64)
-                for j in range(order):
-                    back = order - j
-                    past = padded[2 + 1 - back: 2 + 1 - back + n]
-                    code = code * markov.SYMBOLS + np.where(since < back, markov.EDGE, past)
-                counts.append((order * markov.CONTEXTS + code) * markov.SYMBOLS + symbols[1:])
-            total = np.bincount(np.concatenate(counts))
-            cell = np.flatnonzero(total)
-            yield K.batch(["cell", "n"], [cell, total[cell]])
+            ends, gone = np.cumsum(length + 1), np.cumsum(length) - length
+            symbols, letter = np.full(int(ends[-1]) + 1, markov.EDGE, np.int64), np.arange(int(length.sum()))
+            symbols[letter + np.repeat(ends - length - gone, length)] = markov.CODE[b.data[letter + np.repeat(starts - gone, length)]]
+            before = np.concatenate(([markov.EDGE], symbols[:-2]))
+            before[ends[:-1]] = markov.EDGE             # nothing is known beyond a word's boundary
+            code = (before * markov.SYMBOLS + symbols[:-1]) * markov.SYMBOLS + symbols[1:]
+            counts = np.bincount(code, minlength=markov.SYMBOLS ** 3).reshape((markov.SYMBOLS,) * 3)
+            # the shorter contexts' counts are sums of the longest one's
+            for order, table in ((2, counts), (1, counts.sum(axis=0)), (0, counts.sum(axis=(0, 1)))):
+                total = table.ravel()
+                cell = np.flatnonzero(total)
+                yield K.batch(["cell", "n"], [order * markov.CONTEXTS * markov.SYMBOLS + cell, total[cell]])
 
 
 def _held_out(id_: Column) -> Column:
@@ -361,7 +365,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     once = (rows.select("doc_id", F.xxhash64("text").alias("content")).join(marks.hint("merge"), "doc_id")
             .groupBy("content", "label").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "label"))
     train = rows.join(stored(once, "train").hint("merge"), "doc_id").select("text", "label")
-    counted = stored(train.mapInArrow(_trainer(model), "feature string, toxic long, clean long")
+    counted = stored(train.mapInArrow(_trainer(model, uuid.uuid4().hex), "feature string, toxic long, clean long")
                      .groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
                      .where("toxic > 1 and toxic >= clean"), "features")
     sums = stored(marks, "marks").join(rows.select("doc_id"), "doc_id", "left_semi").agg(
